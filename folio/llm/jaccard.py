@@ -244,8 +244,11 @@ def links(found: DataFrame, percent: int) -> DataFrame:
     label = components(first)
     marked = written(lists.join(label, lists["key"] == label["node"], "left").select("token", "n", "alone", "key", F.coalesce("component", "key").alias("c")))
     mixed = marked.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
-    left = marked.join(mixed, "token", "left_semi")
-    pairs = left.alias("x").join(left.alias("y"), F.expr(f"x.token = y.token and x.c < y.c and {_may(percent, 'x', 'y')}"))
+    prefixes = [f"p{o}" for o in range(ORDERS)]
+    left = marked.join(mixed, "token", "left_semi").join(found.select("key", *prefixes), "key")
+    # a pair comes from its first common token alone, and only if it shares a prefix token under the other orders as well
+    same = [f"x.token = y.token and x.c < y.c and {_may(percent, 'x', 'y')}", *[f"arrays_overlap(x.{p}, y.{p})" for p in prefixes[1:]], "x.token = element_at(array_intersect(x.p0, y.p0), 1)"]
+    pairs = left.alias("x").join(left.alias("y"), F.expr(" and ".join(same)))
     pairs = pairs.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
     return first.unionByName(_verify(pairs, found, percent))
 
