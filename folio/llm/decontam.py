@@ -13,7 +13,6 @@ MASKS = {0: 3, 1: 5}
 REACH, WINDOW, SHARE = 24, 20, 0.8
 #: Up to so many distinct test seeds, documents are filtered in place and the seeds are broadcast; beyond, both are shuffled.
 FEW_SEEDS = 30_000
-FIRST = MASKS[0] + 2
 
 
 def _tokens(text: str) -> str:
@@ -40,7 +39,7 @@ def test_seeds(benchmark: DataFrame) -> DataFrame:
     b = _seeded(benchmark.select("item_id", "text"), "text")
     every = None
     for m in MASKS:
-        one = b.selectExpr("item_id", "h_", f"posexplode(s{m}_) as (at, seed)")
+        one = b.selectExpr("item_id", "h_", f"posexplode_outer(s{m}_) as (at, seed)").where("seed is not null")
         every = one if every is None else every.unionByName(one)
     return every.selectExpr("seed", "item_id", "size(h_) as item_len", f"{_around('at')} as item_around").distinct()
 
@@ -61,13 +60,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, window
     if len(distinct) <= few:
         listed = ",".join(f"{x}L" if x > -(2**63) else "(-9223372036854775807L - 1L)" for x in distinct)
         found = "concat(" + ", ".join(f"filter(transform(s{m}_, (x, i) -> if(x in ({listed}), named_struct('at', i, 'seed', x), null)), z -> z is not null)" for m in MASKS) + ")"
-        hits = d.withColumn("z_", F.expr(found)).drop("s0_", "s1_").where("size(z_) > 0")
-        hits = hits.withColumn("z_", F.expr(f"transform(z_, z -> named_struct('seed', z.seed, 'around', {_around('z.at')}))")).selectExpr("doc_id", "text_key", "inline(z_)")
+        hits = d.withColumn("z_", F.expr(found)).drop(*[f"s{m}_" for m in MASKS])
+        # outer, then a filter on what comes out: a filter on the arrays would be pushed below them and compute them anew
+        hits = hits.withColumn("z_", F.expr(f"transform(z_, z -> named_struct('seed', z.seed, 'around', {_around('z.at')}))")).selectExpr("doc_id", "text_key", "inline_outer(z_)").where("seed is not null")
         pairs = hits.join(F.broadcast(seeds), "seed")
     else:
         hits = None
         for m in MASKS:
-            one = d.selectExpr("doc_id", "text_key", "h_", f"posexplode(s{m}_) as (at, seed)").join(seeds.select("seed").distinct(), "seed", "left_semi")
+            one = d.selectExpr("doc_id", "text_key", "h_", f"posexplode_outer(s{m}_) as (at, seed)").where("seed is not null").join(seeds.select("seed").distinct(), "seed", "left_semi")
             hits = one if hits is None else hits.unionByName(one)
         pairs = hits.selectExpr("doc_id", "text_key", "seed", f"{_around('at')} as around").join(seeds, "seed")
     pairs = pairs.selectExpr("doc_id", "text_key", "item_id", f"least(item_len, {window}) as of", "zip_with(around, item_around, (x, y) -> if(x = y, 1, 0)) as eq")
