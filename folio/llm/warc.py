@@ -170,7 +170,7 @@ def write(pages: DataFrame, folder: str, records: int = DICT_RECORDS) -> DataFra
                     path = f"{folder}/{uuid.uuid4().hex}.warc.zst"
                     fs, at = file_system(path)
                     fs.create_dir(at.rpartition("/")[0], recursive=True)
-                    stream = fs.open_output_stream(at)
+                    stream = fs.open_output_stream(at, compression=None)  # else the name would have it packed twice
                     writer, n = Writer(stream, dictionary), 0
                 writer.add(build_record(page_id, url, payload or b"", refers_to))
                 n += 1
@@ -195,7 +195,7 @@ def read(archives: DataFrame) -> DataFrame:
         for b in batches:
             for path in b.column("path").to_pylist():
                 fs, at = file_system(path)
-                with fs.open_input_stream(at) as source:
+                with fs.open_input_stream(at, compression=None) as source:
                     rows, size = [], 0
                     for raw in read_archive(source):
                         h, payload = parse_record(raw)
