@@ -8,9 +8,10 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
@@ -20,17 +21,21 @@ def unescape(col: Column) -> Column:
     return F.when(F.contains(col, F.lit("&")), _unescape(col)).otherwise(col)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def gzip_text(s: pd.Series) -> pd.Series:
     return s.map(lambda x: gzip.compress(x.encode("utf-8"), mtime=0), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def gunzip_text(s: pd.Series) -> pd.Series:
     return s.map(lambda x: gzip.decompress(x).decode("utf-8"), na_action="ignore")
 
 
-@F.pandas_udf("text string, annotations array<struct<id:string,citation_text:string,offset:int>>")
+#: Types are objects: a DDL string needs a session, and importing this doesn't.
+_NOTES = T.ArrayType(T.StructType().add("id", T.StringType()).add("citation_text", T.StringType()).add("offset", T.IntegerType()))
+
+
+@F.pandas_udf(T.StructType().add("text", T.StringType()).add("annotations", _NOTES))
 def _strip(text: pd.Series, markers: pd.Series) -> pd.DataFrame:
     from ..operators.citations import strip_markers
 

@@ -7,6 +7,7 @@ from xml.sax.saxutils import escape
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import hash40
 
@@ -17,7 +18,7 @@ def plain_text(passages: DataFrame, *document: str, order: str = "passage_idx",
     return passages.groupBy(*document).agg(F.array_join(lines, "").alias("text"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def bioc_document(doc_id: pd.Series, infons: pd.Series, passages: pd.Series) -> pd.Series:
     """A <document> element; passages: array<struct<infons: map, offset, text>>."""
 
