@@ -25,18 +25,25 @@ def mention_pattern(mention: Column) -> Column:
 
 
 def find_spans(text: Column, pattern: Column) -> Column:
-    """All matches, left to right: array of (start, end), 0-based, in code points."""
-    hits = F.regexp_extract_all(text, pattern, F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    step = F.aggregate(
-        F.sequence(F.lit(1), F.size(hits)),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out")),
-        lambda acc, i: F.struct(
-            (acc["at"] + F.length(F.element_at(gaps, i)) + F.length(F.element_at(hits, i))).alias("at"),
-            F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(F.element_at(gaps, i))).alias("start"), (acc["at"] + F.length(F.element_at(gaps, i)) + F.length(F.element_at(hits, i))).alias("end")))).alias("out"),
-        ),
-    )["out"]
-    return F.when(F.size(hits) > 0, step).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+    """All matches, left to right: array of (start, end), 0-based, in code points.
+
+    Lengths of matches and of what lies between are bound by a lambda, so that a text is matched once, not once a match."""
+    kind = "array<struct<start:int,end:int>>"
+    hits = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda x: F.length(x))
+    gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
+
+    def spans(b: Column) -> Column:
+        return F.aggregate(
+            F.arrays_zip(F.slice(b["gaps"], 1, F.size(b["hits"])).alias("gap"), b["hits"].alias("hit")),
+            F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")),
+            lambda acc, x: F.struct(
+                (acc["at"] + x["gap"] + x["hit"]).alias("at"),
+                F.concat(acc["out"], F.array(F.struct((acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["hit"]).alias("end")))).alias("out"),
+            ),
+        )["out"]
+
+    bound = F.transform(F.array(F.struct(hits.alias("hits"), gaps.alias("gaps"))), spans)[0]
+    return F.coalesce(bound, F.array().cast(kind))
 
 
 def choose_spans(spans: Column) -> Column:
