@@ -81,6 +81,13 @@ def test_grouping(spark):
     assert n == {"pmc_00": 2000, "pmc_01": 2000, "pmc_02": 1}
 
 
+def test_find_spans(spark):
+    rows = [("ab 𝒳 ab, abc ab", "ab", [(0, 2), (5, 7), (13, 15)]), ("none", "ab", []), ("", "ab", []), (None, "ab", []), ("ab", None, []), ("ab", "ab", [(0, 2)])]
+    df = spark.createDataFrame([(i, s, m) for i, (s, m, _) in enumerate(rows)], "i int, s string, m string")
+    got = df.select("i", spans.find_spans(F.col("s"), spans.mention_pattern(F.col("m"))).alias("at")).collect()
+    assert {r.i: [tuple(x) for x in r.at] for r in got} == {i: want for i, (_, _, want) in enumerate(rows)}
+
+
 def test_alignment(spark):
     p = spark.createDataFrame([(1, 0, "Interferon α and interferon  gamma receptor binds TNF.", 10), (2, 0, "nothing", 0)], "pmid bigint, passage_idx int, text string, offset bigint")
     m = spark.createDataFrame([(1, "G", "g2", "interferon gamma|interferon gamma receptor", "x"), (1, "G", "g1", "interferon gamma receptor", "x"), (1, "C", "c1", "Interferon alpha", "x"), (1, "G", "g3", "tnf", "x"), (3, "G", "g", "nothing", "x")], "pmid bigint, type string, conceptid string, mentions string, database string")
