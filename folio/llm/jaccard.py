@@ -15,6 +15,8 @@ from .graph import components
 
 #: Global token orders: all sort by a token's document frequency first (rare ones first), each breaks ties by a hash of its own.
 ORDERS = 3
+#: 64-bit words of a set's parity bitmap. Each bit in which two bitmaps differ is the place of a token that only one set has.
+WORDS = 8
 #: Bytes of text of a chunk: a task holds one chunk's tokens at a time.
 CHUNK_BYTES = 6 << 20
 #: Bits of a token that its frequency is counted by: tokens alike in them count as one, which every order may do.
@@ -57,6 +59,19 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - (percent * n + 99) // 100 + 1
 
 
+def parities(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """For each set WORDS numbers, whose bits tell whether an odd number of its tokens falls on their place."""
+    bits, rows = 64 * WORDS, len(begin) - 1
+    out = np.zeros((rows, WORDS), np.int64)
+    place = (mix(h ^ _SALT[3]) % _U(bits)).astype(np.int64)
+    for a in range(0, rows, 4096):
+        z = min(a + 4096, rows)
+        row = np.repeat(np.arange(z - a), np.diff(begin[a : z + 1]))
+        odd = np.bincount(row * bits + place[begin[a] : begin[z]], minlength=(z - a) * bits) & 1
+        out[a:z] = np.packbits(odd.astype(np.uint8).reshape(z - a, bits), axis=1).view(np.int64)
+    return out
+
+
 def distinct_texts(docs: DataFrame, text: str, k: int) -> DataFrame:
     """(doc_id, n_shingles, key): key is equal for equal sets, null for none. A map."""
 
@@ -99,7 +114,7 @@ def _chunk_tokens(texts: pa.Array, k: int, bits: int):
 
 def candidates(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
     """A row for each distinct set that may have a partner: key, n, alone (how many of its tokens no other set has),
-    members (its packed tokens), p0.. (its prefix tokens under each order, of those that another set has too).
+    members (its packed tokens), s0.. (its parity bitmap), p0.. (its prefix tokens under each order, of those that another set has too).
 
     One exact document frequency for each token (of COUNTED bits) decides the orders. Chunks of documents send their distinct
     tokens, packed and cut by range, to buckets; a bucket counts its tokens over all chunks and answers every chunk with a
@@ -146,7 +161,7 @@ def candidates(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
             cls[cuts[bucket] : cuts[bucket + 1]] = np.frombuffer(zstandard.decompress(c), np.uint8)
         return _prefixes(h, begin, keys, cls[where], percent)
 
-    schema = "key bigint, n bigint, alone bigint, members binary, " + ", ".join(f"p{o} array<bigint>" for o in range(ORDERS))
+    schema = "key bigint, n bigint, alone bigint, members binary, " + ", ".join([f"s{w} bigint" for w in range(WORDS)] + [f"p{o} array<bigint>" for o in range(ORDERS)])
     dealt = d.groupBy("chunk")
     answers = dealt.applyInArrow(send, "chunk int, bucket int, packed binary, counts binary").groupBy("bucket").applyInArrow(tally, "chunk int, bucket int, classes binary")
     return dealt.cogroup(answers.groupBy("chunk")).applyInArrow(place, schema).dropDuplicates(["key"])
@@ -173,6 +188,8 @@ def _prefixes(h: np.ndarray, begin: np.ndarray, keys: np.ndarray, cls: np.ndarra
         lists.append((got.view(np.int64), np.searchsorted(row2[order][keep], np.arange(len(n) + 1))))
     at = np.flatnonzero(may & (m > 0))
     out = {"key": pa.array(keys[at].view(np.int64)), "n": pa.array(n[at], pa.int64()), "alone": pa.array(alone[at], pa.int64()), "members": pa.array([h[begin[i] : begin[i + 1]].tobytes() for i in at], pa.binary())}
+    bitmap = parities(h, begin)[at]
+    out |= {f"s{w}": pa.array(bitmap[:, w]) for w in range(WORDS)}
     for o, (got, cut) in enumerate(lists):
         out[f"p{o}"] = pa.array([got[cut[i] : cut[i + 1]] for i in at], pa.list_(pa.int64()))
     return pa.table(out)
@@ -184,6 +201,13 @@ def _may(percent: int, a: str, b: str) -> str:
     return f"100 * {most} >= {percent} * ({a}.n + {b}.n - {most})"
 
 
+def _near(percent: int, a: str, b: str) -> str:
+    """SQL: the bitmaps of a and b differ in no more places than a link's sets may differ in tokens, which is at most
+    (100 - percent) / (100 + percent) of the sum of their sizes. Every link passes."""
+    apart = " + ".join(f"bit_count({a}.s{w} ^ {b}.s{w})" for w in range(WORDS))
+    return f"{100 + percent} * ({apart}) <= {100 - percent} * ({a}.n + {b}.n)"
+
+
 def _verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of keys that truly link. Pairs must share a prefix token under every other order too before their
     sets are compared."""
@@ -245,9 +269,10 @@ def links(found: DataFrame, percent: int) -> DataFrame:
     marked = written(lists.join(label, lists["key"] == label["node"], "left").select("token", "n", "alone", "key", F.coalesce("component", "key").alias("c")))
     mixed = marked.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
     prefixes = [f"p{o}" for o in range(ORDERS)]
-    left = marked.join(mixed, "token", "left_semi").join(found.select("key", *prefixes), "key")
-    # a pair comes from its first common token alone, and only if it shares a prefix token under the other orders as well
-    same = [f"x.token = y.token and x.c < y.c and {_may(percent, 'x', 'y')}", *[f"arrays_overlap(x.{p}, y.{p})" for p in prefixes[1:]], "x.token = element_at(array_intersect(x.p0, y.p0), 1)"]
+    left = marked.join(mixed, "token", "left_semi").join(found.select("key", *prefixes, *[f"s{w}" for w in range(WORDS)]), "key")
+    # a pair comes from its first common token alone, and only if its bitmaps allow a link and it shares a prefix token under
+    # the other orders as well
+    same = [f"x.token = y.token and x.c < y.c and {_may(percent, 'x', 'y')}", _near(percent, "x", "y"), *[f"arrays_overlap(x.{p}, y.{p})" for p in prefixes[1:]], "x.token = element_at(array_intersect(x.p0, y.p0), 1)"]
     pairs = left.alias("x").join(left.alias("y"), F.expr(" and ".join(same)))
     pairs = pairs.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
     return first.unionByName(_verify(pairs, found, percent))

@@ -81,6 +81,17 @@ def test_jaccard_random(spark):
         assert Counter(tuple(r) for r in jaccard.cluster(df, k=k, percent=percent).collect()) == brute_components(rows, k, percent)
 
 
+def test_parities():
+    rng = np.random.default_rng(5)
+    a = [np.unique(rng.integers(1, 1 << 63, n).astype(np.uint64)) for n in (1, 3, 40, 700, 5000)]
+    sets_ = a + [np.unique(np.concatenate([x[: -max(1, len(x) // 9)], x[:1] + np.uint64(1)])) for x in a]
+    got = jaccard.parities(np.concatenate(sets_), np.concatenate([[0], np.cumsum([len(x) for x in sets_])]))
+    for i, x in enumerate(sets_):
+        for j, y in enumerate(sets_):
+            apart = sum(int(v).bit_count() for v in (got[i] ^ got[j]).view(np.uint64))
+            assert apart <= len(np.setxor1d(x, y)) and (i != j or not apart)
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3)], "a bigint, b bigint")
     got = dict((r.node, r.component) for r in graph.components(edges).collect())
