@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import SLICE_BYTES, Words, mix, powers, sets, shingles, slices, table, written
 from .graph import components
-from .jaccard import CHUNK_BYTES, _column, _pack, _unpack
+from .jaccard import CHUNK_BYTES, WORDS, _column, _near, _pack, _unpack, parities
 
 #: Words of a shingle, the similarity of a link, the recall that bands are tuned for at it, and rows of a band.
 K, SIMILARITY, RECALL, ROWS = 5, 0.8, 0.995, 3
@@ -130,14 +130,18 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
 
 def near_paragraphs(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """(key, keeper_doc, keeper_line): for every distinct paragraph that has a copy or a near copy, the first place (least
-    doc_id, then line) of its component."""
+    doc_id, then line) of its component.
+
+    First every member of a band bucket is held against the bucket's least and greatest key, two pairs a member, which joins
+    most groups. Then members of a bucket that are in different components are paired with each other: no two paragraphs
+    that meet in a band and are alike end in different components."""
     bands = tune_bands(similarity)
+    percent = int(np.floor(100 * similarity))
     lines = written(_lines(docs, text, bands))
     first = lines.groupBy("key").agg(F.min(F.struct("doc_id", "line_no")).alias("at"), F.count("*").alias("n"))
     once = lines.select("key", F.posexplode("bands").alias("band", "hash")).distinct()
     hubs = once.groupBy("band", "hash").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi")
-    met = once.join(hubs, ["band", "hash"])
-    # every member of a bucket is held against the bucket's least and greatest key: two pairs a member, not all pairs
+    met = written(once.join(hubs, ["band", "hash"]))
     pairs = met.select("key", F.explode(F.array("lo", "hi")).alias("hub")).where("key <> hub").select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
     pairs = written(pairs)
     wanted = _filter_of(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
@@ -156,13 +160,16 @@ def near_paragraphs(docs: DataFrame, text: str = "text", similarity: float = SIM
                 _, one = np.unique(p.line_key[keep], return_index=True)
                 keep = keep[np.sort(one)]
                 h, begin = sets(*p.line_sets(), len(p.line) - 1)
-                yield pa.RecordBatch.from_arrays([pa.array(p.line_key[keep].view(np.int64)), pa.array([h[begin[i] : begin[i + 1]].tobytes() for i in keep], pa.binary())], names=["key", "members"])
-
-    found = docs.select(text).mapInArrow(members, "key bigint, members binary").dropDuplicates(["key"])
+                size = begin[keep + 1] - begin[keep]
+                got = h[np.repeat(begin[keep] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+                bitmap = parities(got, np.concatenate([[0], np.cumsum(size)]))
+                out = {"key": pa.array(p.line_key[keep].view(np.int64)), "members": pa.array([h[begin[i] : begin[i + 1]].tobytes() for i in keep], pa.binary()), "n": pa.array(size, pa.int64())}
+                out |= {f"s{w}": pa.array(bitmap[:, w]) for w in range(WORDS)}
+                yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
+
+    marks = [f"s{w}" for w in range(WORDS)]
+    found = docs.select(text).mapInArrow(members, ", ".join(["key bigint, members binary, n bigint", *[f"{m} bigint" for m in marks]])).dropDuplicates(["key"])
     found = written(found.join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi"))
-    both = pairs
-    for side in "ab":
-        both = both.join(found.select(F.col("key").alias(side), F.col("members").alias(f"members_{side}")), side)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -173,7 +180,24 @@ def near_paragraphs(docs: DataFrame, text: str = "text", similarity: float = SIM
                 ok.append(inter >= similarity * (len(x) + len(y) - inter))
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    label = components(both.select("a", "b", "members_a", "members_b").mapInArrow(verify, "a bigint, b bigint"))
+    def verified(both: DataFrame) -> DataFrame:
+        for side in "ab":
+            both = both.join(found.select(F.col("key").alias(side), F.col("members").alias(f"members_{side}")), side)
+        return both.select("a", "b", "members_a", "members_b").mapInArrow(verify, "a bigint, b bigint")
+
+    linked = written(verified(pairs))
+    label = components(linked)
+    # buckets whose members are still in different components: all pairs across these, but those already held against a hub
+    marked = written(met.join(label, met["key"] == label["node"], "left").select("band", "hash", "lo", "hi", "key", F.coalesce("component", "key").alias("c")))
+    mixed = marked.groupBy("band", "hash").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("m")).where("c0 <> c1 and m > 2").select("band", "hash")
+    sketch = lines.join(found, "key", "left_semi").dropDuplicates(["key"]).select("key", "bands")
+    left = written(marked.where("key <> lo and key <> hi").join(mixed, ["band", "hash"], "left_semi").join(found.select("key", "n", *marks), "key").join(sketch, "key"))
+    # a pair comes from its first common band alone, and only if its bitmaps allow a link
+    alone = "array_position(zip_with(x.bands, y.bands, (p, q) -> p = q), true) = x.band + 1"
+    sizes = f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
+    same = ["x.band = y.band and x.hash = y.hash and x.c < y.c", sizes, _near(percent, "x", "y"), alone]
+    more = left.alias("x").join(left.alias("y"), F.expr(" and ".join(same))).select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
+    label = components(linked.unionByName(verified(more)))
     named = written(first.join(label, first["key"] == label["node"], "left").where("n > 1 or component is not null").select("key", "at", F.coalesce("component", "key").alias("component")))
     keepers = named.groupBy("component").agg(F.min("at").alias("keeper"))
     return written(named.join(keepers, "component").select("key", F.col("keeper.doc_id").alias("keeper_doc"), F.col("keeper.line_no").alias("keeper_line")))

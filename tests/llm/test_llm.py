@@ -293,3 +293,27 @@ def test_pipeline(spark):
 
 def test_crc():
     assert zlib.crc32(b"1") % 7 in range(7)
+
+
+def stars(groups=6, copies=40, seed=8):
+    """Near copies of bases that are like their base and, for the most part, not like each other; the base isn't first."""
+    r, rows = random.Random(seed), []
+    for g in range(groups):
+        base = [f"g{g}w{i}" for i in range(100)]
+        some = [list(base) for _ in range(copies)]
+        for k, c in enumerate(some):
+            for i in r.sample(range(10, 90), 2):
+                c[i] = f"g{g}c{k}e{i}"
+        some.insert(copies // 2, base)
+        rows += [(g * 1000 + k, " ".join(c)) for k, c in enumerate(some)]
+    return rows
+
+
+def test_paragraphs_stars(spark):
+    rows = stars()
+    brute = {d: c for d, _, c in brute_components(rows, 5, 80)}
+    out = paragraphs.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    joined = sum(r.kept_in == [brute[r.doc_id]] for r in out if brute[r.doc_id] != r.doc_id)
+    of = sum(brute[d] != d for d, _ in rows)
+    print("joined", joined, "of", of)
+    assert of > 200 and joined >= 0.99 * of
