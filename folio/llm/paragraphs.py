@@ -22,6 +22,10 @@ PARAGRAPH_WORDS = 20
 SENTENCE_WORDS = 5
 #: Repeated words in a row that are removed at least: paragraphs and sentences that repeat add up.
 RUN_WORDS = 30
+#: A run of so many words that repeats is found wherever it begins. Words of the anchors that lead to it, and of the stretch
+#: of text that has one at least: a repeated run holds a whole stretch, and so the same anchor in each of its places.
+WINDOW, ANCHOR = 50, 20
+STRETCH = WINDOW - ANCHOR + 1
 #: Bits of the filter that picks the lines to verify, and its segments.
 FILTER_BITS, SEGMENTS = 26, 64
 _U = np.uint64
@@ -59,6 +63,54 @@ class Parts:
         self.line_key = mix((total[self.line[1:]] - total[self.line[:-1]]) * down[self.line[:-1]])
         self.sentence_key = mix((total[self.sentence[1:]] - total[self.sentence[:-1]]) * down[self.sentence[:-1]] + _U(1))
 
+    def _grams(self, size: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of `size` words from each word on, and which of them end in their own text."""
+        n = len(self.words.hash)
+        if n < size:
+            return np.zeros(0, np.uint64), np.zeros(0, bool)
+        up, down = powers(n + 1)
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.words.hash * up[:n], out=total[1:])
+        bound = np.repeat(self.words.first[1:], self.words.per_doc)
+        at = np.arange(n - size + 1)
+        return mix((total[size:] - total[:-size]) * down[at] + _U(salt)), at + size <= bound[at]
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and first words of the anchors: of each stretch within a text the gram of least hash, all of them if equal."""
+        h, whole = self._grams(ANCHOR, 2)
+        if len(h) < STRETCH:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        m = len(h) - STRETCH + 1
+        # minima of stretches by doubling
+        low, size = h.copy(), 1
+        while size * 2 <= STRETCH:
+            low = np.minimum(low[:-size], low[size:])
+            size *= 2
+        low = np.minimum(low[:m], low[STRETCH - size : STRETCH - size + m])
+        inside = whole[STRETCH - 1 :][:m] & (self._row()[:m] == self._row()[STRETCH - 1 :][:m])
+        pick = np.zeros(len(h), bool)
+        for i in range(STRETCH):
+            pick[i : i + m] |= inside & (h[i : i + m] == low)
+        at = np.flatnonzero(pick)
+        return h[at], at
+
+    def _row(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.words.per_doc)), self.words.per_doc)
+
+    def windows(self, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and first words of the windows that hold an anchor which the filter knows."""
+        a, at = self.anchors()
+        k = a & _U((1 << FILTER_BITS) - 1)
+        at = at[((bits[(k >> _U(3)).astype(np.int64)] >> (k & _U(7)).astype(np.uint8)) & 1) > 0]
+        if not len(at):
+            return np.zeros(0, np.uint64), at
+        h, whole = self._grams(WINDOW, 3)
+        near = np.zeros(len(self.words.hash) + 1, np.int64)
+        np.add.at(near, np.maximum(at - (WINDOW - ANCHOR), 0), 1)
+        np.add.at(near, at + 1, -1)
+        at = np.flatnonzero((np.cumsum(near)[: len(h)] > 0) & whole)
+        return h[at], at
+
     @staticmethod
     def _spans(ends: np.ndarray) -> np.ndarray:
         return np.concatenate([[0], ends]).astype(np.int64)
@@ -128,6 +180,19 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
     return bits.reshape(-1)
 
 
+def _repeated_anchors(docs: DataFrame, text: str) -> np.ndarray:
+    """The filter of the anchors that are in more than one place. It may know others too, but lacks none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in slices(whole, text):
+                every, n = np.unique(Parts(b.column(text)).anchors()[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(every.view(np.int64)), pa.array(n, pa.int64())], names=["key", "n"])
+
+    every = docs.select(text).mapInArrow(run, "key bigint, n bigint")
+    return _filter_of(every.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"))
+
+
 def near_paragraphs(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """(key, keeper_doc, keeper_line): for every distinct paragraph that has a copy or a near copy, the first place (least
     doc_id, then line) of its component.
@@ -207,19 +272,21 @@ def dedup(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, r
     """docs with repeated passages cut out of text, plus words_, removed_words, kept_in (see below).
 
     Two things repeat: a paragraph (a line of 20 words or more) whose 5-word shingles are 80 % like an earlier one's, found
-    by MinHash bands, verified exactly and clustered by components; and a sentence equal to an earlier one, wherever it
-    stands. Earlier is by doc_id, then by place; the first occurrence stays. Where repeated words in a row come to
-    `run_words` or more they are cut, with the space after them; anything shorter is left as it is, so a document without
-    such a run keeps its text to the byte. n_words and removed_words are counts; kept_in lists (ascending, distinct) the
+    by MinHash bands, verified exactly and clustered by components; and a sentence, or a run of WINDOW words wherever it
+    begins, equal to an earlier one. Earlier is by doc_id, then by place; the first occurrence stays. Such a paragraph is cut
+    whatever its length; where other repeated words in a row come to `run_words` or more they are cut, with the space after
+    them; anything shorter is left as it is, so a document without such a run keeps its text to the byte. n_words and removed_words are counts; kept_in lists (ascending, distinct) the
     doc_ids that hold the copies which stay. Null and empty texts stay as they are. Of repeated rows, and of rows that share
     a doc_id, the first (by text) keeps a passage. Null doc_ids come before others. Clashing columns n_words,
     removed_words and kept_in are replaced.
 
-    Chunks send their sentences' hashes, with the least doc_id that has each, to buckets by range and get a byte and a
+    Every WINDOW words in a row that repeat hold an anchor (20 words chosen by their hashes) that repeats too: all windows about
+    such anchors count as sentences do. Chunks send their sentences' and windows' hashes, with the least doc_id that has each, to buckets by range and get a byte and a
     doc_id for each that repeats: texts cross once, hashes in a few bytes, and a passage that many documents have is
     one row from each chunk."""
     docs = docs.drop("n_words", "removed_words", "kept_in")
     near = near_paragraphs(docs, text, similarity)
+    anchored = docs.sparkSession.sparkContext.broadcast(_repeated_anchors(docs, text))
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)), F.count("*")).first()
     chunks = max(1, -(-size[0] // CHUNK_BYTES), -(-size[1] // 40_000))
     bits = min(20, max(0, int(np.ceil(np.log2(max(1, size[0] / 50 / (1 << 19)))))))
@@ -246,11 +313,14 @@ def dedup(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, r
         return _column(t, "doc_id").cast(pa.int64()).fill_null(int(none)).to_numpy(zero_copy_only=False)
 
     def sentences(t):
-        """Distinct sentence hashes of a chunk, ascending, and the least doc_id of each."""
+        """Distinct sentence and window hashes of a chunk, ascending, and the least doc_id of each."""
         ids, keys, owner = doc_ids(t), [], []
         for at, _, p in parts_of(t):
             keys.append(p.sentence_key)
             owner.append(ids[at + p.doc_of(p.sentence)])
+            k, first = p.windows(anchored.value)
+            keys.append(k)
+            owner.append(ids[at + p._row()[first]])
         k, o = np.concatenate([*keys, np.zeros(0, np.uint64)]), np.concatenate([*owner, np.zeros(0, np.int64)])
         every, one, n = np.unique(k, return_index=True, return_counts=True)  # rows are ordered: the first has the least doc_id
         return every, o[one], n
@@ -280,6 +350,17 @@ def dedup(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, r
             out.append(zstandard.compress(flag.tobytes() + kept[a:b][flag > 0].tobytes(), 1))
         return pa.table({"chunk_": t.column("chunk_"), "bucket": t.column("bucket"), "answer": pa.array(out, pa.binary())})
 
+    def runs_of(gone, w):
+        """Where runs of such words begin and end, each within a document."""
+        n = len(gone)
+        if not n:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        firsts = w.first[:-1][w.per_doc > 0]
+        start = np.union1d(np.flatnonzero(gone & ~np.concatenate([[False], gone[:-1]])), firsts[gone[firsts]])
+        stop_at = np.append(np.flatnonzero(~gone), n)
+        bound = w.first[np.searchsorted(w.first, start, "right")] if len(start) else start
+        return start, np.minimum(stop_at[np.searchsorted(stop_at, start)], bound) if len(start) else start
+
     def cut(key, t, answers):
         t = ordered(t)
         ids, texts = doc_ids(t), _column(t, text).to_pylist()
@@ -318,6 +399,7 @@ def dedup(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, r
             gone |= np.repeat(flag, spread)
             source = np.where(np.repeat(flag, spread), np.repeat(keeper[idx], spread), source)
             # paragraphs
+            must = np.zeros(n, bool)
             if len(near_keys):
                 lk = p.line_key.view(np.int64)
                 pos = np.minimum(np.searchsorted(near_keys, lk), len(near_keys) - 1)
@@ -331,19 +413,40 @@ def dedup(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, r
                         first[i] = False
                     seen_near.add(name)
                 flag = hit & ~first
-                spread = np.diff(p.line)
-                new = np.repeat(flag, spread) & ~gone
+                must = np.repeat(flag, np.diff(p.line))
+                new = must & ~gone
+                gone |= new
+                source = np.where(new, np.repeat(kd[pos], np.diff(p.line)), source)
+            # windows: as sentences, but a window that overlaps its first occurrence leaves the words of that alone
+            k, first = p.windows(anchored.value)
+            if len(k):
+                idx, row = np.searchsorted(every, k), p._row()[first]
+                own = keeper[idx] == ids[at + row]
+                order = np.zeros(len(idx), bool)
+                _, one, same = np.unique(idx, return_index=True, return_inverse=True)
+                order[one] = True
+                stays = own & order & ~seen[idx]
+                origin = first[one][same]
+                seen[idx[stays]] = True
+                flag = np.flatnonzero(again[idx] & ~stays)
+                a, z = first[flag], first[flag] + WINDOW
+                inside = own[flag] & (p._row()[origin[flag]] == row[flag]) & (origin[flag] < a)
+                a = np.where(inside, np.maximum(a, origin[flag] + WINDOW), a)
+                depth = np.zeros(n + 1, np.int64)
+                np.add.at(depth, a, 1)
+                np.add.at(depth, z, -1)
+                latest = np.full(n, -1)
+                latest[first[flag]] = np.arange(len(flag))
+                new = (np.cumsum(depth)[:n] > 0) & ~gone
                 gone |= new
-                source = np.where(new, np.repeat(kd[pos], spread), source)
-            # runs within documents
-            start = np.flatnonzero(gone & ~np.concatenate([[False], gone[:-1]])) if n else np.zeros(0, np.int64)
-            firsts = w.first[:-1][w.per_doc > 0]
-            start = np.union1d(start, firsts[gone[firsts]]) if n else start
-            stop_at = np.append(np.flatnonzero(~gone), n)
-            bound = w.first[np.searchsorted(w.first, start, "right")] if len(start) else start
-            end = np.minimum(stop_at[np.searchsorted(stop_at, start)], bound) if len(start) else start
+                source[new] = keeper[idx][flag][np.maximum.accumulate(latest)[new]]
+            # runs within documents: long ones, and of others the paragraphs
+            start, end = runs_of(gone, w)
             big = (end - start) >= run_words
-            start, end = start[big], end[big]
+            long = np.zeros(n + 1, np.int64)
+            long[start[big]] += 1
+            np.add.at(long, end[big], -1)
+            start, end = runs_of((np.cumsum(long)[:n] > 0) | must, w)
             owner_doc = np.searchsorted(w.first, start, "right") - 1
             by_doc: dict[int, list[tuple[int, int]]] = {}
             for d, a, b in zip(owner_doc.tolist(), start.tolist(), end.tolist()):

@@ -317,3 +317,24 @@ def test_paragraphs_stars(spark):
     of = sum(brute[d] != d for d, _ in rows)
     print("joined", joined, "of", of)
     assert of > 200 and joined >= 0.99 * of
+
+
+def test_paragraphs_anywhere(spark):
+    r, n = random.Random(4), iter(range(10**6))
+    own = lambda k: " ".join(f"u{next(n)}" for _ in range(k))
+    rows, want = [], {}
+    for g in range(12):
+        size = r.choice([50, 51, 60, 75])
+        passage = own(size).split()
+        if g % 2:  # sentences inside, the borders of none match
+            passage = [w + "." if i % 17 == 8 else w for i, w in enumerate(passage)]
+        p = " ".join(passage)
+        rows += [(10 * g + 1, f"{own(70)} {p} {own(33)}"), (10 * g + 2, f"{own(41)} {p} {own(52)}")]
+        want[10 * g + 2] = size
+    short = own(24)
+    rows += [(500, f"{own(30)}\n{short}\n{own(25)}"), (501, f"{own(30)}\n{short}\n{own(25)}"), (502, "la " * 200), (503, f"{own(9)} {own(49)}")]
+    rows.append((504, f"{own(9)} " + rows[-1][1].split(" ", 9)[-1] + f" {own(9)}"))
+    want |= {501: 24, 502: 150}
+    got = {x.doc_id: x for x in paragraphs.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {d: x.removed_words for d, x in got.items() if x.removed_words} == want
+    assert all(got[d].kept_in == [d - 1 if d != 502 else 502] for d in want)
