@@ -21,6 +21,8 @@ WORDS = 8
 CHUNK_BYTES = 6 << 20
 #: Bits of a token that its frequency is counted by: tokens alike in them count as one, which every order may do.
 COUNTED = 48
+#: Sets of a block: all pairs of a component are compared block against block.
+BLOCK = 256
 #: Tokens of a frequency bucket.
 BUCKET_TOKENS = 1 << 21
 _U = np.uint64
@@ -285,15 +287,81 @@ def cluster(docs: DataFrame, text: str = "text", k: int = 4, percent: int = 85)
     Words are runs without space or 0x09-0x0D, A-Z lower-cased; a text of fewer than k words is one shingle; null, empty and
     wordless texts have none and link with nothing, not even each other. Equal sets are one node. Repeated rows stay, with
     equal results. A null doc_id is never a component's name unless all its members' are null. Other columns are ignored."""
+    return _clustered(docs, text, k, percent)[0].drop("key")
+
+
+def linked(docs: DataFrame, text: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
+    """cluster() and n_links: how many other rows of docs each row links with, copies (equal sets) among them. A row without
+    shingles has 0."""
+    out, keyed, found, label = _clustered(docs, text, k, percent)
+    copies = keyed.where("key is not null").groupBy("key").agg(F.count("*").alias("copies"))
+    links_of = counts(found.select("key", "members").join(label.withColumnRenamed("node", "key"), "key").join(copies, "key"), percent)
+    per = written(copies.join(links_of, "key", "left").select(F.col("key").alias("key_"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
+    return out.join(per, out["key"] == per["key_"], "left").select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+
+
+def counts(sets_: DataFrame, percent: int) -> DataFrame:
+    """(key, links) of (key, members, component, copies): the copies of the other sets that each set links with, all pairs of
+    a component compared exactly. Components are cut into blocks of about BLOCK sets, and a task compares two blocks, so no
+    group is one task's burden and no row is made for a pair."""
+    size = sets_.groupBy("component").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    placed = sets_.join(size, "component").withColumn("block", F.pmod(F.xxhash64("key", F.lit(41)), F.col("blocks")).cast("int"))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("component", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "key", "copies", "members")
+
+    def compare(rows: list[tuple]) -> np.ndarray:
+        lists = [np.frombuffer(r[6], np.uint64) for r in rows]
+        n = np.array([len(x) for x in lists])
+        every, where, times = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+        place = (np.cumsum(times > 1) - 1)[where]
+        row, shared = np.repeat(np.arange(len(rows)), n), times[where] > 1
+        row, place = row[shared], place[shared]
+        order = np.argsort(place, kind="stable")
+        row, place = row[order], place[order]
+        inter, width = np.zeros((len(rows), len(rows)), np.int64), max(4096, (1 << 21) // len(rows))
+        for at in range(0, int((times > 1).sum()), width):
+            i, j = np.searchsorted(place, [at, at + width])
+            m = np.zeros((len(rows), min(width, int(place[j - 1]) + 1 - at)), np.float32)
+            m[row[i:j], place[i:j] - at] = 1
+            inter += np.rint(m @ m.T).astype(np.int64)
+        link = 100 * inter >= percent * (n[:, None] + n[None, :] - inter)
+        np.fill_diagonal(link, False)
+        if rows[0][1] != rows[0][2]:
+            block = np.array([r[3] for r in rows])
+            link &= block[:, None] != block[None, :]
+        return link.astype(np.int64) @ np.array([r[5] for r in rows], np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[4] for r in held], pa.int64()), pa.array(compare(held), pa.int64())], names=["key", "links"])
+
+        for b in batches:
+            for r in zip(*(b.column(c).to_pylist() for c in ("component", "lo", "hi", "block", "key", "copies", "members"))):
+                if held and held[0][:3] != r[:3]:
+                    yield done()
+                    held = []
+                held.append(r)
+        if held:
+            yield done()
+
+    spread = int(sets_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per = dealt.repartition(spread, "component", "lo", "hi").sortWithinPartitions("component", "lo", "hi").mapInArrow(run, "key bigint, links bigint")
+    return per.groupBy("key").agg(F.sum("links").alias("links"))
+
+
+def _clustered(docs: DataFrame, text: str, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     keyed = written(distinct_texts(docs, text, k))
-    edges = links(written(candidates(docs, text, k, percent)), percent)
-    label = components(edges)
+    found = written(candidates(docs, text, k, percent))
+    label = components(links(found, percent))
     nodes = keyed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
     nodes = nodes.join(label, nodes["key"] == label["node"], "left").select("key", "least", F.coalesce("component", "key").alias("component"))
     nodes = written(nodes)
     named = nodes.join(nodes.groupBy("component").agg(F.min("least").alias("component_id")), "component").select(F.col("key").alias("key_"), "component_id")
-    return keyed.join(named, keyed["key"] == named["key_"], "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = keyed.join(named, keyed["key"] == named["key_"], "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "key")
+    return out, keyed, found, label
 
 
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cluster(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return linked(table(spark, sf_dir, "documents").select("doc_id", "text"))

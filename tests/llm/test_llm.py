@@ -338,3 +338,14 @@ def test_paragraphs_anywhere(spark):
     got = {x.doc_id: x for x in paragraphs.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert {d: x.removed_words for d, x in got.items() if x.removed_words} == want
     assert all(got[d].kept_in == [d - 1 if d != 502 else 502] for d in want)
+
+
+def test_jaccard_links(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 7)
+    rows = [(d, t) for d, t in stars(2, 25, 9)] + DOCS
+    s = [shingle_set(t, 4) for _, t in rows]
+    links = [sum(i != j and bool(x) and 100 * len(x & y) >= 80 * len(x | y) for j, y in enumerate(s)) for i, x in enumerate(s)]
+    got = jaccard.linked(spark.createDataFrame(rows, "doc_id bigint, text string"), percent=80).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.n_links) for r in got) == Counter((d, len(x), n) for (d, _), x, n in zip(rows, s, links))
+    assert max(links) >= 20
+    assert Counter(tuple(r)[:3] for r in got) == brute_components(rows, 4, 80)
