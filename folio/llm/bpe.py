@@ -21,8 +21,8 @@ SHORT = 160
 NONE = np.int32(2**31 - 1)
 #: Longest word, in bytes, that is merged together with others.
 TOGETHER = 48
-#: Entries of each of the two generations of a worker's word cache.
-CACHE = 150_000
+#: Entries of each of the two generations of a task's caches of words and of runs.
+CACHE = 60_000
 TOKENIZER_DIR = "/opt/tokenizers"
 
 
@@ -89,6 +89,11 @@ class WordBPE:
         self.inner = np.array([self.vocab[c] for c in self.letter], np.int32)
         self.last = np.array([self.vocab[c + self.end] for c in self.letter], np.int32)
 
+    def forget(self) -> None:
+        """Empties the caches: a worker that goes on to another task keeps the vocabulary alone."""
+        for c in (self.cache, self.older, self.run_cache, self.run_older):
+            c.clear()
+
     def merge(self, word: str) -> list[int]:
         """Ids of one word. Parts lie in one array, the rank of each part with its right neighbour in another;
         the leftmost least rank is merged, its boundary deleted and the two neighbouring ranks refreshed."""
@@ -286,20 +291,23 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, ids: bo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(path)
-        for whole in batches:
-            for b in slices(whole, text):
-                n, i, d, t, x = [], [], [], [], []
-                for count, id_text, decoded in tok.many(b.column(text).to_pylist()):
-                    n.append(count)
-                    i.append(hashlib.sha256(id_text.encode()).hexdigest())
-                    d.append(hashlib.sha256(decoded.encode()).hexdigest())
+        try:
+            for whole in batches:
+                for b in slices(whole, text):
+                    n, i, d, t, x = [], [], [], [], []
+                    for count, id_text, decoded in tok.many(b.column(text).to_pylist()):
+                        n.append(count)
+                        i.append(hashlib.sha256(id_text.encode()).hexdigest())
+                        d.append(hashlib.sha256(decoded.encode()).hexdigest())
+                        if ids:
+                            t.append(np.array(id_text.split(), np.int32))
+                            x.append(decoded)
+                    new = [pa.array(n, pa.int64()), pa.array(i, pa.string()), pa.array(d, pa.string())]
                     if ids:
-                        t.append([int(v) for v in id_text.split()])
-                        x.append(decoded)
-                new = [pa.array(n, pa.int64()), pa.array(i, pa.string()), pa.array(d, pa.string())]
-                if ids:
-                    new += [pa.array(t, pa.list_(pa.int32())), pa.array(x, pa.string())]
-                yield pa.RecordBatch.from_arrays([*b.columns, *new], names=[*b.schema.names, *names])
+                        new += [pa.array(t, pa.list_(pa.int32())), pa.array(x, pa.string())]
+                    yield pa.RecordBatch.from_arrays([*b.columns, *new], names=[*b.schema.names, *names])
+        finally:
+            tok.forget()
 
     return docs.mapInArrow(run, schema)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import weakref
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,7 @@ _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _powers: dict[str, np.ndarray] = {}
+_paths: dict[int, tuple] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,6 +33,8 @@ def shared_dir(spark: SparkSession) -> str:
         got = sc._jsc.sc().getCheckpointDir()
         if got.isDefined():
             return got.get()
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         import tempfile
 
         at = tempfile.mkdtemp(prefix="folio-checkpoint-")
@@ -45,7 +49,26 @@ def written(df: DataFrame, *partition_by: str) -> DataFrame:
     path = f"{shared_dir(spark)}/folio-{uuid.uuid4().hex}"
     w = df.write.option("compression", "zstd")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)  # at the session's end, if not by removed()
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[id(out)] = (weakref.ref(out, lambda _, k=id(out): _paths.pop(k, None)), path)
+    return out
+
+
+def removed(df: DataFrame) -> None:
+    """Deletes the folder of a DataFrame of written(), once nothing reads it any more."""
+    _, path = _paths.pop(id(df))
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def sampled(df: DataFrame, rows: int, *key: str) -> DataFrame:
+    """About `rows` rows of df (all, if it has fewer), those with the least hashes of `key`: a filter, so that no task gets
+    more than its share however many partitions there are. Rows alike in `key` are in or out together."""
+    n = df.count()
+    return df if n <= rows else df.where(F.pmod(F.xxhash64(*key), F.lit(1 << 40)) < int((1 << 40) * rows / n))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,15 +118,18 @@ def _offsets(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("up", ())) < n:
-        size = max(n, SLICE_BYTES)
-        for k, b in (("up", _BASE), ("down", _INV)):
-            p = np.full(size, b, np.uint64)
-            p[0] = 1
-            _powers[k] = np.cumprod(p)
-        if size > 16 * SLICE_BYTES:  # not kept for one giant text
-            return _powers.pop("up"), _powers.pop("down")
-    return _powers["up"], _powers["down"]
+    """At least n powers of the base and of its inverse; tables of a step's size are kept, longer ones aren't."""
+    size = max(n, SLICE_BYTES + 1)
+    if n <= SLICE_BYTES + 1 and _powers:
+        return _powers["up"], _powers["down"]
+    got = []
+    for b in (_BASE, _INV):
+        p = np.full(size, b, np.uint64)
+        p[0] = 1
+        got.append(np.cumprod(p))
+    if size == SLICE_BYTES + 1:
+        _powers["up"], _powers["down"] = got
+    return got[0], got[1]
 
 
 def mix(x: np.ndarray) -> np.ndarray:

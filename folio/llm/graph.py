@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import removed, written
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
@@ -26,7 +26,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         # small star: neighbours below u and u itself are hung on the least of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        e = written(small.where("u <> v").distinct())
+        before, e = e, written(small.where("u <> v").distinct())
+        removed(before)
         now = e.agg(F.count("*").alias("n"), F.countDistinct("u").alias("us"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("s")).first()
         if now == last or now["n"] == 0:
             break

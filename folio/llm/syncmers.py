@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,10 @@ from pyspark.sql import functions as F
 from .common import mix, powers, slices, table
 
 _U = np.uint64
-#: Code points of an anchor, of its inner substrings, and anchors kept in a fingerprint.
-K, S, KEEP = 16, 8, 48
+#: Code points of an anchor and of its inner substrings.
+K, S = 16, 8
+#: A fingerprint keeps so many anchors, or one in SPARSE of a text that has more than KEEP * SPARSE.
+KEEP, SPARSE = 48, 16
 #: Range slots for each shuffle partition, in the search for the next document.
 SLOTS = 8
 
@@ -46,8 +49,9 @@ def _utf32(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32), off
 
 
-def sketches(cps: np.ndarray, off: np.ndarray, k: int = K, s: int = S, keep: int = KEEP) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per document its `keep` least distinct anchors: (hashes ascending, position of each one's first occurrence)."""
+def sketches(cps: np.ndarray, off: np.ndarray, k: int = K, s: int = S, keep: int = KEEP, sparse: int = SPARSE) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per document its `keep` least distinct anchors, or a `sparse`-th of them all if that is more: (hashes ascending,
+    position of each one's first occurrence)."""
     at, h = _anchors(cps, off, k, s)
     doc = np.searchsorted(off, at, "right") - 1
     at = at - off[doc]
@@ -59,7 +63,7 @@ def sketches(cps: np.ndarray, off: np.ndarray, k: int = K, s: int = S, keep: int
     begin = np.searchsorted(doc, np.arange(len(off)))
     out = []
     for i in range(len(off) - 1):
-        a, b = begin[i], min(begin[i + 1], begin[i] + keep)
+        a, b = begin[i], min(begin[i + 1], begin[i] + max(keep, (begin[i + 1] - begin[i]) // sparse))
         if a == b and off[i + 1] > off[i]:  # shorter than an anchor: the whole text is one
             whole = hashlib.blake2b(cps[off[i] : off[i + 1]].tobytes(), digest_size=8).digest()
             out.append((np.frombuffer(whole, np.uint64), np.zeros(1, np.int64)))
@@ -79,11 +83,12 @@ def from_text(s: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], keep: int = KEEP) -> float:
-    """Share of the two fingerprints' `keep` least anchors that both have at one offset (the most frequent
-    difference of positions); 1 if both are empty, 0 if one is."""
+    """Share of the least anchors of the two fingerprints together that both have at one offset (the most frequent
+    difference of positions); 1 if both are empty, 0 if one is. As many anchors count as the shorter fingerprint keeps, `keep`
+    at least: so many of either text are surely known."""
     if not len(a[0]) or not len(b[0]):
         return float(len(a[0]) == len(b[0]))
-    union = np.union1d(a[0], b[0])[:keep]
+    union = np.union1d(a[0], b[0])[: max(keep, min(len(a[0]), len(b[0])))]
     common, i, j = np.intersect1d(a[0], b[0], True, return_indices=True)
     ok = common <= union[-1]
     if not ok.any():
@@ -111,79 +116,93 @@ def edited(text: str, following: str) -> str:
 
 
 def next_documents(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Rows (slot, place, doc_id, text) such that, sorted within a partition by slot, place, doc_id and text, each row of
-    place 0 is followed by its next document's row; place 1 closes a slot with the first row of the next one.
+    """Rows (slot, place, doc_id, h, text) such that, sorted within a partition by slot, place, doc_id and h, each row of
+    place 0 is followed by its next document's row; a row of place 1 closes a slot with the first row of the next one. In
+    the slots below 0 are the rows without doc_id, and the row of place -1 is the next document of all of them.
 
-    Slots are ranges of doc_id between quantiles that are themselves ids (some per shuffle partition, so the driver
-    holds a number for each 1/8 partition); each row is shuffled once, and one row per slot twice."""
+    Slots are ranges of doc_id (some per shuffle partition). Their bounds are any numbers, compared as exact integers; their
+    first rows are found by an aggregation, so that no id's size matters. The driver holds a few numbers for each slot; each
+    row is shuffled once, and one row per slot twice."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text")).where("doc_id is not null")
-    span = d.agg(F.min("doc_id"), F.max("doc_id")).first()
-    if span[0] is None:
-        bounds = []
-    else:
-        q = d.select(F.col("doc_id").cast("double").alias("x")).approxQuantile("x", [i / (parts * SLOTS) for i in range(1, parts * SLOTS)], 0.25 / (parts * SLOTS))
-        bounds = sorted({int(x) for x in q if int(x) > span[0]})
-    n = len(bounds)
-    # slot = number of bounds that are not above doc_id, found by halving
-    import bisect
+    d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    low, high, missing = d.agg(F.min("doc_id"), F.max("doc_id"), F.count_if(F.col("doc_id").isNull())).first()
+    bounds = np.zeros(0, np.int64)
+    if low is not None and low < high:
+        wide = high - low >= 1 << 62  # a difference might overflow: halves are near enough for a quantile
+        x = (F.floor(F.col("doc_id") / 2).cast("double") - float(low // 2)) * 2 if wide else (F.col("doc_id") - F.lit(low)).cast("double")
+        q = d.where("doc_id is not null").select(x.alias("x")).approxQuantile("x", [i / (parts * SLOTS) for i in range(1, parts * SLOTS)], 0.25 / (parts * SLOTS))
+        bounds = np.array(sorted({b for v in q if low < (b := low + int(v)) <= high}), np.int64)
 
     @F.pandas_udf("int")
     def slot_of(ids):
-        return ids.map(lambda x: bisect.bisect_right(bounds, x)).astype("int32")
-
-    d = d.withColumn("slot", slot_of("doc_id")).withColumn("place", F.lit(0))
-    firsts = d.where(F.col("doc_id").isin(bounds)) if bounds else d.limit(0)
-    close = firsts.withColumn("slot", F.col("slot") - 1).withColumn("place", F.lit(1))
-    last = d.where(F.col("doc_id") == F.lit(span[0] if span[0] is not None else 0)).withColumn("slot", F.lit(n)).withColumn("place", F.lit(1))
-    return d.unionByName(close).unionByName(last).select("slot", "place", "doc_id", "text").repartition(parts, "slot").sortWithinPartitions("slot", "place", "doc_id", "text")
+        # the number of bounds that are not above an id
+        return pd.Series(np.searchsorted(bounds, ids.to_numpy(), "right").astype(np.int32))
+
+    # rows without id go to slots of their own by hash; a column with nulls would cross as doubles
+    lone = F.when(F.col("doc_id").isNull(), -1 - F.pmod("h", F.lit(parts * SLOTS)).cast("int"))
+    known = slot_of(F.coalesce("doc_id", F.lit(0)))
+    d = d.withColumn("slot", F.coalesce(lone, known) if missing else known).withColumn("place", F.lit(0))
+    firsts = [(r.slot, r.f.doc_id, r.f.h) for r in d.where("doc_id is not null").groupBy("slot").agg(F.min(F.struct("doc_id", "h")).alias("f")).orderBy("slot").collect()]
+    closing = [(s, 1, i, h) for (s, _, _), (_, i, h) in zip(firsts, firsts[1:] + firsts[:1])]
+    if missing and firsts:
+        closing += [(-1 - k, -1, *firsts[0][1:]) for k in range(parts * SLOTS)]
+    close = spark.createDataFrame(closing, "to_slot int, to_place int, at_id bigint, at_h bigint")
+    extra = d.join(F.broadcast(close), (F.col("doc_id") == F.col("at_id")) & (F.col("h") == F.col("at_h"))).select(F.col("to_slot").alias("slot"), F.col("to_place").alias("place"), "doc_id", "h", "text").dropDuplicates(["slot", "place"])
+    return d.select("slot", "place", "doc_id", "h", "text").unionByName(extra).repartition(parts, "slot").sortWithinPartitions("slot", "place", "doc_id", "h")
 
 
 def with_edits(docs: DataFrame, text: str = "text") -> DataFrame:
     """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    The next document follows by ascending doc_id (then text, among repeated ids); after the last comes the first, and a
-    lone document follows itself. Null text is empty. Rows without doc_id have no place in the order and are left out;
-    other columns are ignored."""
+    The next document follows by ascending doc_id (by a hash of the text among repeated ids); after the last comes the first,
+    and a lone document follows itself. Null text is empty. Rows without doc_id have no place in the order: each is followed
+    by the first document, or by itself if no row has an id. Rows that share a doc_id are one task's. Other columns are
+    ignored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []  # rows that wait for the row after them
+        waiting = None  # a row whose next document comes with the next batch
+        lead = None  # (slot, text): what follows the rows without id of that slot
+        todo: list[tuple] = []  # (id, text, next text)
         size = 0
 
-        def flush(upto: list[tuple]) -> pa.RecordBatch:
-            # upto: (slot, place, id, text); each row of place 0 except the last has its successor right after it
-            todo = [(r, upto[i + 1]) for i, r in enumerate(upto[:-1]) if r[1] == 0]
-            texts = [r[3] for r in upto]
-            own = sketches(*_utf32(texts))
-            at = [i for i, r in enumerate(upto[:-1]) if r[1] == 0]
-            new = [edited(r[3], s[3]) for r, s in todo]
+        def flush() -> pa.RecordBatch:
+            texts, nexts = [t for _, t, _ in todo], [n for _, _, n in todo]
+            once = {id(t): t for t in texts + nexts}  # a next document is most often a row too
+            of = dict(zip(once, sketches(*_utf32(list(once.values())))))
+            own, following = [of[id(t)] for t in texts], [of[id(t)] for t in nexts]
+            new = [edited(t, n) for t, n in zip(texts, nexts)]
             changed = sketches(*_utf32(new))
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([r[2] for r, _ in todo], pa.int64()),
-                    pa.array([len(r[3]) for r, _ in todo], pa.int64()),
+                    pa.array([i for i, _, _ in todo], pa.int64()),
+                    pa.array([len(t) for t in texts], pa.int64()),
                     pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in new], pa.string()),
-                    pa.array([as_text(own[i]) for i in at], pa.string()),
+                    pa.array([as_text(s) for s in own], pa.string()),
                     pa.array([as_text(c) for c in changed], pa.string()),
-                    pa.array([likeness(own[i], c) for i, c in zip(at, changed)], pa.float64()),
-                    pa.array([likeness(own[i], own[i + 1]) for i in at], pa.float64()),
+                    pa.array([likeness(a, c) for a, c in zip(own, changed)], pa.float64()),
+                    pa.array([likeness(a, b) for a, b in zip(own, following)], pa.float64()),
                 ],
                 names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
             )
 
         for whole in batches:
             for b in slices(whole, "text", 1 << 20):
-                for row in zip(*(c.to_pylist() for c in b.columns)):
-                    if held and row[1] == 1 and held[-1][1] == 1:
-                        continue  # a second closing row
-                    held.append(row)
-                    size += len(row[3])
-                if size > 1 << 20:
-                    yield flush(held)
-                    held, size = held[-1:], 0
-        if len(held) > 1:
-            yield flush(held)
+                for slot, place, i, body in zip(*(b.column(c).to_pylist() for c in ("slot", "place", "doc_id", "text"))):
+                    if place < 0:
+                        lead = (slot, body)
+                        continue
+                    if i is None:
+                        todo.append((None, body, lead[1] if lead and lead[0] == slot else body))
+                    elif waiting is not None:
+                        todo.append((*waiting, body))
+                    size += len(body)
+                    waiting = (i, body) if place == 0 and i is not None else None
+                if size > 1 << 20 and todo:
+                    yield flush()
+                    todo, size = [], 0
+        if todo:
+            yield flush()
 
     schema = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return next_documents(docs, text).mapInArrow(run, schema)
