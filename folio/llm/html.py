@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -13,7 +16,7 @@ from .common import fresh, slices, table
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
-HIDDEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas svg math datalist area base link meta param source track col colgroup title".split())
+HIDDEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas datalist area base link meta param source track col colgroup title".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul caption xmp".split())
 #: Blocks that an empty line sets apart.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu dir blockquote pre table figure fieldset article section hr xmp".split())
@@ -34,11 +37,21 @@ IMPLIED = {
     "tfoot": (("td", "th", "tr", "tbody", "thead", "tfoot", "caption", "colgroup"), ("table",)),
 }
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
-#: An end tag doesn't reach beyond these.
+#: An end tag doesn't reach beyond these; one of a part of a table only stops at the second.
 SCOPE = frozenset(("table", "td", "th", "caption", "html", "template"))
-_token = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"']|[\"'])*?)>", re.S)
-_attr = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
-_unseen = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+TABLE_SCOPE = frozenset(("table", "html", "template"))
+TABLE_PARTS = frozenset(("table", "tbody", "thead", "tfoot", "tr"))
+#: What shows nothing inside of svg and math.
+UNDRAWN = frozenset("title desc defs symbol clippath mask pattern marker metadata annotation annotation-xml".split())
+#: Tables nested deeper are laid out as blocks, all their text included; most columns and rows that a cell may take (fixed values).
+TABLE_DEPTH, MOST_COLUMNS, MOST_ROWS = 20, 1000, 65534
+_open = re.compile(r"<(?:(!--)|([!?])|/([a-zA-Z][^\s/>]*)|([a-zA-Z][^\s/>]*))")
+_between = re.compile(r"[\s/]*")
+_name = re.compile(r"[^\s/>][^\s/>=]*")
+_equals = re.compile(r"\s*=\s*")
+_bare = re.compile(r"[^\s>]*")
+_no_box = re.compile(r"display\s*:\s*none", re.I)
+_visibility = re.compile(r"(?<![\w-])visibility\s*:\s*(\w+)", re.I)
 _spaces = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -49,98 +62,186 @@ class Node:
         self.tag, self.attrs, self.children = tag, attrs or {}, []
 
 
-def parse(html: str) -> Node:
-    """A tree of Nodes and strings. Never fails: unknown, unclosed and stray tags are taken as browsers do, roughly."""
-    root = Node("#root")
-    stack, at, n = [root], 0, len(html)
-    match = _token.search
-
-    def close(names, stops) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in names:
-                del stack[i:]
-                # several levels may end at once, as a cell and its row
-                close(names, stops)
+def attributes(html: str, at: int) -> tuple[dict[str, str], int]:
+    """The attributes of a tag from behind its name on, and where the tag ends; the end of the text if it never does, as in an
+    unclosed quote. The first of equal names counts. Every character is looked at once."""
+    out: dict[str, str] = {}
+    n = len(html)
+    while True:
+        at = _between.match(html, at).end()
+        if at >= n:
+            return out, n
+        if html[at] == ">":
+            return out, at + 1
+        m = _name.match(html, at)
+        name, at, value = m[0].lower(), m.end(), ""
+        if m := _equals.match(html, at):
+            at = m.end()
+            if html[at : at + 1] in ('"', "'"):
+                end = html.find(html[at], at + 1)
+                if end < 0:
+                    return out, n
+                value, at = html[at + 1 : end], end + 1
+            else:
+                m = _bare.match(html, at)
+                value, at = m[0], m.end()
+        out.setdefault(name, unescape(value) if "&" in value else value)
+
+
+class _Stack:
+    """Open elements, with counts of their names: in all, and since the last element of SCOPE and of TABLE_SCOPE, so that a
+    search for one that isn't open costs nothing."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.counts, self.scopes, self.tables = [root], Counter(), [Counter()], [Counter()]
+
+    def push(self, node: Node) -> None:
+        self.nodes.append(node)
+        self.counts[node.tag] += 1
+        self.scopes[-1][node.tag] += 1
+        self.tables[-1][node.tag] += 1
+        if node.tag in SCOPE:
+            self.scopes.append(Counter())
+        if node.tag in TABLE_SCOPE:
+            self.tables.append(Counter())
+
+    def pop(self) -> None:
+        tag = self.nodes.pop().tag
+        if tag in SCOPE:
+            self.scopes.pop()
+        if tag in TABLE_SCOPE:
+            self.tables.pop()
+        self.counts[tag] -= 1
+        self.scopes[-1][tag] -= 1
+        self.tables[-1][tag] -= 1
+
+    def close(self, names, stops) -> None:
+        """Ends open elements of these names, up to the nearest of the stops; several levels may end at once."""
+        counts = self.scopes[-1] if stops is SCOPE else self.counts
+        while any(counts[x] for x in names):
+            for i in range(len(self.nodes) - 1, 0, -1):
+                if self.nodes[i].tag in names:
+                    break
+                if self.nodes[i].tag in stops:
+                    return
+            else:
+                return
+            while len(self.nodes) > i:
+                self.pop()
+            counts = self.scopes[-1] if stops is SCOPE else self.counts
+
+    def end(self, name: str) -> None:
+        names = HEADINGS if name in HEADINGS else (name,)
+        stops = TABLE_SCOPE if name in TABLE_PARTS else SCOPE
+        counts = self.tables if name in TABLE_PARTS else self.scopes
+        # an element of SCOPE is counted in the frame that it lies in, and begins one
+        if not any(counts[-1][x] for x in names) and not (name in stops and len(counts) > 1):
+            return
+        for i in range(len(self.nodes) - 1, 0, -1):
+            tag = self.nodes[i].tag
+            if tag in names:
+                while len(self.nodes) > i:
+                    self.pop()
                 return
-            if stack[i].tag in stops:
+            if tag in stops:
                 return
 
+
+def parse(html: str) -> Node:
+    """A tree of Nodes and strings, in time linear in the text. Never fails: unknown, unclosed and stray tags are taken as
+    browsers do, roughly; a tag that the text ends in is none, and what it holds isn't shown."""
+    root = Node("#root")
+    stack, at, n = _Stack(root), 0, len(html)
+    nodes = stack.nodes
+
     def text(s: str) -> None:
         if s:
-            stack[-1].children.append(unescape(s) if "&" in s else s)
+            nodes[-1].children.append(unescape(s) if "&" in s else s)
+
+    def add(name: str, attrs: dict[str, str] | None = None) -> Node:
+        nodes[-1].children.append(node := Node(name, attrs))
+        return node
 
     while at < n:
-        m = match(html, at)
+        m = _open.search(html, at)
         if m is None:
             text(html[at:])
             break
         text(html[at : m.start()])
-        at = m.end()
-        if m[1]:
-            name = m[1].lower()
-            if name == "p" and not any(x.tag == "p" for x in stack):
-                stack[-1].children.append(Node("p"))
+        if m[1] or m[2]:
+            end = html.find("-->", m.end()) if m[1] else html.find(">", m.end())
+            at = n if end < 0 else end + (3 if m[1] else 1)
+        elif m[3]:
+            name = m[3].lower()
+            end = html.find(">", m.end())
+            at = n if end < 0 else end + 1
+            if name == "p" and not stack.scopes[-1]["p"]:
+                add("p")
             elif name == "br":
-                stack[-1].children.append(Node("br"))
+                add("br")
             else:
-                for i in range(len(stack) - 1, 0, -1):
-                    tag = stack[i].tag
-                    if tag == name or name in HEADINGS and tag in HEADINGS:
-                        del stack[i:]
-                        break
-                    if tag in SCOPE and not (name in ("table", "tbody", "thead", "tfoot", "tr") and tag in ("td", "th", "caption")):
-                        break
-        elif m[2]:
-            name = m[2].lower()
-            raw = m[3] or ""
-            attrs = {a[0].lower(): unescape(a[1] or a[2] or a[3]) for a in _attr.findall(raw)} if raw.strip(" /\t\n") else {}
+                stack.end(name)
+        else:
+            name = m[4].lower()
+            begin = m.end()
+            attrs, at = ({}, begin + 1) if html[begin : begin + 1] == ">" else attributes(html, begin)
+            if at >= n and html[-1] != ">":
+                break
             if name == "body" or name == "html":
                 if name == "body":
-                    close(("head",), ())
-                if any(x.tag == name for x in stack):
+                    stack.close(("head",), ())
+                if stack.counts[name]:
                     continue
             if name in CLOSES_P:
-                close(("p",), SCOPE)
+                stack.close(("p",), SCOPE)
             if name in IMPLIED:
-                close(*IMPLIED[name])
-            if name in HEADINGS and stack[-1].tag in HEADINGS:
+                stack.close(*IMPLIED[name])
+            if name in HEADINGS and nodes[-1].tag in HEADINGS:
                 stack.pop()
             if name == "a":
-                close(("a",), SCOPE)
-            if stack[-1].tag == "head" and name not in HIDDEN:
+                stack.close(("a",), SCOPE)
+            if nodes[-1].tag == "head" and name not in HIDDEN:
                 stack.pop()
-            if name == "tr" and stack[-1].tag == "table":
-                stack[-1].children.append(body := Node("tbody"))
-                stack.append(body)
-            if name in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
-                if stack[-1].tag == "table":
-                    stack[-1].children.append(body := Node("tbody"))
-                    stack.append(body)
-                stack[-1].children.append(row := Node("tr"))
-                stack.append(row)
-            node = Node(name, attrs)
-            stack[-1].children.append(node)
+            if name == "tr" and nodes[-1].tag == "table":
+                stack.push(add("tbody"))
+            if name in ("td", "th") and nodes[-1].tag in ("table", "tbody", "thead", "tfoot"):
+                if nodes[-1].tag == "table":
+                    stack.push(add("tbody"))
+                stack.push(add("tr"))
+            node = add(name, attrs)
             if name in RAW:
-                end = re.compile(f"</{name}(?=[\\s/>])", re.I).search(html, at)
+                end = _raw_end(name).search(html, at)
                 body = html[at : end.start()] if end else html[at:]
                 if name in ("textarea", "title"):
                     body = unescape(body)
                 if body:
                     node.children.append(body)
                 at = html.find(">", end.end()) + 1 or n if end else n
-            elif name not in VOID:
-                stack.append(node)
+            elif name not in VOID and not (html[at - 2] == "/" and (stack.counts["svg"] or stack.counts["math"])):
+                stack.push(node)
     return root
 
 
-def visible(node: Node) -> bool:
-    """Not a hidden tag, attribute or inline style. Only a closed <details>'s summary shows; render() sees to that."""
+@lru_cache(32)
+def _raw_end(name: str) -> re.Pattern:
+    return re.compile(f"</{name}(?=[\\s/>])", re.I)
+
+
+def boxed(node: Node) -> bool:
+    """Has a place on the page: not a hidden tag or attribute, not display: none. Only a closed <details>'s summary shows;
+    render() sees to that."""
     a = node.attrs
     if node.tag in HIDDEN or "hidden" in a and a["hidden"].lower() != "until-found":
         return False
     if node.tag == "input" and a.get("type", "").lower() == "hidden" or node.tag == "dialog" and "open" not in a:
         return False
-    return not ("style" in a and _unseen.search(a["style"]))
+    return not ("style" in a and _no_box.search(a["style"]))
+
+
+def unseen(node: Node, before: bool) -> bool:
+    """Whether the node's text is invisible though it has a place: visibility is inherited, and an inner one overrides it."""
+    m = _visibility.findall(node.attrs["style"]) if "style" in node.attrs else None
+    return m[-1].lower() in ("hidden", "collapse") if m else before
 
 
 class _Out:
@@ -201,16 +302,19 @@ class _Out:
         return "\n".join(self.lines)
 
 
-def render(node: Node, depth: int = 0) -> str:
+def render(node: Node, depth: int = 0, state: tuple[bool, bool, str] = (False, False, "")) -> str:
     """The visible text of a tree. Blocks stand on lines of their own, spaced ones with an empty line around; list items
-    are marked with "- " or their number and indented by level; table cells are padded to columns, joined by two spaces."""
+    are marked with "- " or their number and indented by level; table cells are padded to columns, joined by two spaces.
+    Of svg the texts show, of math all but annotations. state: white space is kept, text is invisible, within svg or math."""
     out = _Out()
-    # (node, what): an explicit stack, so that depth is not bounded by recursion
-    todo: list[tuple] = [("in", node, False, None)]
+    # (what, node, state, more): an explicit stack, so that depth is not bounded by recursion
+    todo: list[tuple] = [("in", node, state, None)]
     while todo:
-        step, x, pre, more = todo.pop()
+        step, x, state, more = todo.pop()
+        pre, dark, drawing = state
         if step == "text":
-            out.text(x, pre)
+            if not dark and drawing != "svg":
+                out.text(x, pre)
         elif step == "out":
             if more is not None:
                 del out.prefix[more:]
@@ -221,25 +325,33 @@ def render(node: Node, depth: int = 0) -> str:
                 out.block()
         else:
             tag = x.tag
-            if not visible(x):
+            if not boxed(x) or drawing and tag in UNDRAWN:
                 continue
+            dark = unseen(x, dark)
             if tag == "br":
                 out.block(True)
                 continue
-            if tag == "table" and depth < 20:
+            if tag == "table" and depth < TABLE_DEPTH:
                 out.gap()
-                for line in _table(x, depth):
+                for line in _table(x, depth, (pre, dark, drawing)):
                     out._put(line) if line else None
                     out.block()
                 out.gap()
                 continue
             if tag in ("img", "input"):
                 s = x.attrs.get("value", "") if tag == "input" and x.attrs.get("type", "text").lower() not in ("password", "checkbox", "radio", "image", "file") else ""
-                if s:
+                if s and not dark:
                     out.text(s, False)
                 continue
             pre = pre or tag in ("pre", "textarea", "xmp")
-            if tag in BLOCK:
+            label = drawing == "svg" and tag == "text"
+            if tag in ("svg", "math"):
+                drawing = tag
+            elif label:
+                drawing = "label"
+            elif tag == "foreignobject":
+                drawing = ""
+            if tag in BLOCK or label:
                 nested = tag in LISTS and bool(out.prefix)
                 out.block() if nested or tag not in SPACED else out.gap()
                 if tag == "hr":
@@ -248,10 +360,10 @@ def render(node: Node, depth: int = 0) -> str:
                 if tag == "li":
                     sign = f"{more}. " if more is not None else "- "
                     out.prefix.append(" " * len(sign))
-                    out.marker = sign
+                    out.marker = "" if dark else sign
                 elif tag in ("blockquote", "dd"):
                     out.prefix.append("  ")
-                todo.append(("out", tag, False, mark))
+                todo.append(("out", tag, state, mark))
             children = x.children
             if tag == "details" and "open" not in x.attrs:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
@@ -259,67 +371,99 @@ def render(node: Node, depth: int = 0) -> str:
             if tag == "ol":
                 start = x.attrs.get("start", "1").strip()
                 number = int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1
+            state = (pre, dark, drawing)
             for c in children:
                 if isinstance(c, str):
-                    steps.append(("text", c, pre, None))
+                    steps.append(("text", c, state, None))
                 else:
                     item = None
-                    if number is not None and c.tag == "li" and visible(c):
+                    if number is not None and c.tag == "li" and boxed(c):
                         v = c.attrs.get("value", "").strip()
                         item = number = int(v) if re.fullmatch(r"-?\d{1,9}", v) else number
                         number += 1
-                    steps.append(("in", c, pre, item))
+                    steps.append(("in", c, state, item))
             if pre and tag in ("pre", "textarea") and steps and steps[0][0] == "text":
-                steps[0] = ("text", steps[0][1].removeprefix("\n"), True, None)
+                steps[0] = ("text", steps[0][1].removeprefix("\n"), state, None)
             todo.extend(reversed(steps))
     return out.done()
 
 
-def _table(node: Node, depth: int) -> list[str]:
-    """Lines of a table: caption, then rows. A cell of several lines takes as many lines; colspan takes columns."""
+def _span(cell: Node, name: str, most: int, otherwise: int) -> int:
+    got = cell.attrs.get(name, "").strip()
+    return min(int(got), most) if got.isascii() and got.isdecimal() and len(got) < 1000 and int(got) else otherwise
+
+
+def _table(node: Node, depth: int, state: tuple[bool, bool, str]) -> list[str]:
+    """Lines of a table: caption, then rows. A cell of several lines takes as many lines; colspan takes columns, and rowspan
+    keeps its columns free in the rows below, up to the end of their group."""
     lines: list[str] = []
-    rows: list[list[tuple[list[str], int]]] = []
-    todo = [c for c in reversed(node.children)]
+    rows: list[list[tuple[int, int, list[str]]]] = []  # (column, columns, lines) of each row's cells
+    taken: dict[int, int] = {}  # columns that cells of rows above still take, and for how many rows
+    todo: list[tuple[Node | str, tuple]] = [(c, state) for c in reversed(node.children)]
     while todo:
-        c = todo.pop()
+        c, state = todo.pop()
+        pre, dark, drawing = state
         if isinstance(c, str):
-            if c.strip():
+            if c.strip() and not dark:
                 lines += _spaces.sub(" ", c).strip(" ").split("\n")
-        elif not visible(c):
             continue
-        elif c.tag == "tr":
-            row = []
+        if c.tag == "#end":
+            taken = {}
+            continue
+        if not boxed(c):
+            continue
+        inner = (pre, unseen(c, dark), drawing)
+        if c.tag == "tr":
+            row, at, spans = [], 0, []
             for cell in c.children:
+                while taken.get(at, 0):
+                    at += 1
                 if isinstance(cell, Node):
-                    if cell.tag in ("td", "th") and visible(cell):
+                    if cell.tag in ("td", "th") and boxed(cell):
                         box = Node("div")
                         box.children = cell.children
-                        span = cell.attrs.get("colspan", "1").strip()
-                        row.append((render(box, depth + 1).split("\n"), min(max(int(span), 1), 1000) if span.isdecimal() and len(span) < 5 else 1))
-                    elif cell.tag not in ("td", "th") and (s := render(cell, depth + 1)):
-                        row.append((s.split("\n"), 1))
-                elif cell.strip():
-                    row.append(([_spaces.sub(" ", cell).strip(" ")], 1))
+                        wide, high = _span(cell, "colspan", MOST_COLUMNS, 1), _span(cell, "rowspan", MOST_ROWS, 1)
+                        if cell.attrs.get("rowspan", "").strip() == "0":
+                            high = MOST_ROWS
+                        row.append((at, wide, render(box, depth + 1, (pre, unseen(cell, inner[1]), drawing)).split("\n")))
+                        if high > 1:
+                            spans += [(k, high) for k in range(at, at + wide)]
+                        at += wide
+                    elif cell.tag not in ("td", "th") and (s := render(cell, depth + 1, inner)):
+                        row.append((at, 1, s.split("\n")))
+                        at += 1
+                elif cell.strip() and not inner[1]:
+                    row.append((at, 1, [_spaces.sub(" ", cell).strip(" ")]))
+                    at += 1
+            taken = {k: v - 1 for k, v in taken.items() if v > 1} | {k: v - 1 for k, v in spans}
             if row:
                 rows.append(row)
         elif c.tag in ("tbody", "thead", "tfoot"):
-            todo.extend(reversed(c.children))
+            todo.append((Node("#end"), state))
+            todo.extend((x, inner) for x in reversed(c.children))
         else:
-            lines += [x for x in render(c, depth + 1).split("\n") if x]
+            lines += [x for x in render(c, depth + 1, inner).split("\n") if x]
     width: dict[int, int] = {}
     for row in rows:
-        at = 0
-        for cell, span in row:
-            if span == 1:
-                width[at] = max(width.get(at, 0), max(map(len, cell)))
-            at += span
+        for at, span, cell in row:  # a column is where a cell begins; those that only wide cells cover have no place
+            width[at] = max(width.get(at, 0), max(map(len, cell)) if span == 1 else 0)
+    known = sorted(width)
+    upto = [0]  # widths of the columns known, added up
+    for k in known:
+        upto.append(upto[-1] + width[k])
+
+    def room(a: int, b: int) -> int:
+        i, j = bisect_left(known, a), bisect_left(known, b)
+        return upto[j] - upto[i] + 2 * (j - i - 1) if j > i else -1
+
     for row in rows:
-        for k in range(max(len(cell) for cell, _ in row)):
-            at, line = 0, []
-            for cell, span in row:
-                room = sum(width.get(i, 0) for i in range(at, at + span)) + 2 * (span - 1)
-                line.append((cell[k] if k < len(cell) else "").ljust(room))
-                at += span
+        for k in range(max(len(cell) for _, _, cell in row)):
+            last, line = 0, []
+            for at, span, cell in row:
+                if at > last and (gap := room(last, at)) >= 0:  # columns of cells above
+                    line.append(" " * gap)
+                line.append((cell[k] if k < len(cell) else "").ljust(room(at, at + span)))
+                last = at + span
             lines.append("  ".join(line).rstrip())
     return lines
 
@@ -331,7 +475,7 @@ def visible_text(html: str | None) -> str:
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """pages without html, plus text (all visible text) and n_chars; a map over whole pages.
 
-    Null or empty html gives empty text. Rows, repeats and other columns stay; new names that pages already has get
+    Null or empty html gives empty text. Unclosed tags and quotes never take more than linear time. Rows, repeats and other columns stay; new names that pages already has get
     underscores at their end."""
     kept = [c for c in pages.columns if c != html]
     names = fresh(pages.select(*kept), "text", "n_chars")
