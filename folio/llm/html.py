@@ -45,6 +45,8 @@ TABLE_PARTS = frozenset(("table", "tbody", "thead", "tfoot", "tr"))
 UNDRAWN = frozenset("title desc defs symbol clippath mask pattern marker metadata annotation annotation-xml".split())
 #: Tables nested deeper are laid out as blocks, all their text included; most columns and rows that a cell may take (fixed values).
 TABLE_DEPTH, MOST_COLUMNS, MOST_ROWS = 20, 1000, 65534
+#: A table is not padded to columns where that would take over so many characters and so many times those of its cells.
+PADDED, PADDED_TIMES = 100_000, 8
 _open = re.compile(r"<(?:(!--)|([!?])|/([a-zA-Z][^\s/>]*)|([a-zA-Z][^\s/>]*))")
 _between = re.compile(r"[\s/]*")
 _name = re.compile(r"[^\s/>][^\s/>=]*")
@@ -395,10 +397,12 @@ def _span(cell: Node, name: str, most: int, otherwise: int) -> int:
 
 def _table(node: Node, depth: int, state: tuple[bool, bool, str]) -> list[str]:
     """Lines of a table: caption, then rows. A cell of several lines takes as many lines; colspan takes columns, and rowspan
-    keeps its columns free in the rows below, up to the end of their group."""
+    keeps its columns free in the rows below, up to the end of their group. Where padding would outgrow the text (PADDED),
+    cells are joined without it."""
     lines: list[str] = []
     rows: list[list[tuple[int, int, list[str]]]] = []  # (column, columns, lines) of each row's cells
-    taken: dict[int, int] = {}  # columns that cells of rows above still take, and for how many rows
+    taken: list[list[int]] = []  # [first column, column behind, row behind] that cells of rows above take, ascending
+    no, group = 0, 0  # the row's number, and that behind its group's last row
     todo: list[tuple[Node | str, tuple]] = [(c, state) for c in reversed(node.children)]
     while todo:
         c, state = todo.pop()
@@ -407,27 +411,23 @@ def _table(node: Node, depth: int, state: tuple[bool, bool, str]) -> list[str]:
             if c.strip() and not dark:
                 lines += _spaces.sub(" ", c).strip(" ").split("\n")
             continue
-        if c.tag == "#end":
-            taken = {}
-            continue
         if not boxed(c):
             continue
         inner = (pre, unseen(c, dark), drawing)
         if c.tag == "tr":
-            row, at, spans = [], 0, []
+            row, at, k, below = [], 0, 0, []
             for cell in c.children:
-                while taken.get(at, 0):
-                    at += 1
+                while k < len(taken) and taken[k][0] <= at:
+                    at, k = max(at, taken[k][1]), k + 1
                 if isinstance(cell, Node):
                     if cell.tag in ("td", "th") and boxed(cell):
                         box = Node("div")
                         box.children = cell.children
                         wide, high = _span(cell, "colspan", MOST_COLUMNS, 1), _span(cell, "rowspan", MOST_ROWS, 1)
-                        if cell.attrs.get("rowspan", "").strip() == "0":
-                            high = MOST_ROWS
+                        high = (group if high == 0 else min(no + high, group)) - no
                         row.append((at, wide, render(box, depth + 1, (pre, unseen(cell, inner[1]), drawing)).split("\n")))
                         if high > 1:
-                            spans += [(k, high) for k in range(at, at + wide)]
+                            below.append([at, at + wide, no + high])
                         at += wide
                     elif cell.tag not in ("td", "th") and (s := render(cell, depth + 1, inner)):
                         row.append((at, 1, s.split("\n")))
@@ -435,11 +435,17 @@ def _table(node: Node, depth: int, state: tuple[bool, bool, str]) -> list[str]:
                 elif cell.strip() and not inner[1]:
                     row.append((at, 1, [_spaces.sub(" ", cell).strip(" ")]))
                     at += 1
-            taken = {k: v - 1 for k, v in taken.items() if v > 1} | {k: v - 1 for k, v in spans}
+            no += 1
+            old, taken = sorted([x for x in taken if x[2] > no] + below), []
+            for x in old:
+                if taken and taken[-1][1] == x[0] and taken[-1][2] == x[2]:
+                    taken[-1][1] = x[1]
+                else:
+                    taken.append(x)
             if row:
                 rows.append(row)
         elif c.tag in ("tbody", "thead", "tfoot"):
-            todo.append((Node("#end"), state))
+            taken, group = [], no + sum(isinstance(x, Node) and x.tag == "tr" and boxed(x) for x in c.children)
             todo.extend((x, inner) for x in reversed(c.children))
         else:
             lines += [x for x in render(c, depth + 1, inner).split("\n") if x]
@@ -456,8 +462,14 @@ def _table(node: Node, depth: int, state: tuple[bool, bool, str]) -> list[str]:
         i, j = bisect_left(known, a), bisect_left(known, b)
         return upto[j] - upto[i] + 2 * (j - i - 1) if j > i else -1
 
+    plain = sum(len(x) for row in rows for _, _, cell in row for x in cell)
+    padded = sum(max(len(cell) for _, _, cell in row) * (room(0, row[-1][0]) + 1) for row in rows)
+    align = padded <= max(PADDED, PADDED_TIMES * plain)
     for row in rows:
         for k in range(max(len(cell) for _, _, cell in row)):
+            if not align:
+                lines.append("  ".join([cell[k] for _, _, cell in row if k < len(cell) and cell[k]]))
+                continue
             last, line = 0, []
             for at, span, cell in row:
                 if at > last and (gap := room(last, at)) >= 0:  # columns of cells above
