@@ -11,11 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, fresh, slices, table, written
+from .common import crc_mod, fresh, sampled, slices, table, written
 
-#: States, words with an emission of their own, words whose counts every worker holds, and rounds over the whole corpus.
+#: States, words with an emission of their own, most words whose counts every worker holds, and rounds over the whole corpus.
 STATES, SYMBOLS, HEAD, ROUNDS = 8, 16_384, 131_072, 2
-#: The start is fitted on at most so many documents (least hashes of doc_id) of at most so many bytes.
+#: The start is fitted on about so many documents (least hashes of doc_id and text) of at most so many bytes. Longer texts
+#: are learned from in the rounds over the whole corpus, as all others are.
 START_DOCS, START_BYTES, START_ROUNDS = 1_500, 32_768, 10
 #: No word has it: the end of a text.
 END = b"\n"
@@ -177,14 +178,29 @@ def first_fit(seqs: list[np.ndarray], unigram: np.ndarray, states: int, rounds:
     return start, move, emit
 
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The rows (word, n) of the words more frequent than a bound, the least that `most` words at the utmost pass: a filter by a
+    histogram of n, exact up to 64 and in steps of an eighth of a doubling above, so that no task sorts all words."""
+    step = "if(n <= 64, n, cast(floor(log2(n) * 8) as bigint) + 16)"  # 65 is in step 64, after the single ones
+    hist = sorted(((r.s, r.least, r.words) for r in counts.groupBy(F.expr(step).alias("s")).agg(F.min("n").alias("least"), F.count("*").alias("words")).collect()), key=lambda x: -x[1])
+    left, bound = most, None
+    for _, least, words in hist:
+        if words > left:
+            break
+        left, bound = left - words, least
+    return counts.where(F.col("n") >= F.lit(bound)) if bound is not None else counts.limit(0)
+
+
 def fit(train: DataFrame, counts: DataFrame, states: int = STATES, symbols: int = SYMBOLS, head: int = HEAD, rounds: int = ROUNDS) -> Model:
     """Trains on (doc_id, text) whose word counts are `counts` (a written table).
 
     The driver holds `head` words and states * symbols numbers, whatever the corpus. Every round goes over all texts;
     a task sends its summed counts in blocks, which are added up by block."""
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.where(F.col("word") != F.lit(bytearray(END))).orderBy(F.desc("n"), "word").limit(head).toArrow()
+    top = frequent(counts.where(F.col("word") != F.lit(bytearray(END))), head).toArrow()
     words, n = top["word"].to_pylist(), top["n"].to_numpy()
+    order = sorted(range(len(words)), key=lambda i: (-n[i], words[i]))
+    words, n = [words[i] for i in order], n[order]
     symbols = min(symbols, len(words))
     ends = counts.where(F.col("word") == F.lit(bytearray(END))).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     own = int(n[:symbols].sum())
@@ -193,7 +209,7 @@ def fit(train: DataFrame, counts: DataFrame, states: int = STATES, symbols: int
     unigram = np.concatenate([n[:symbols].astype(float), [max(ends, 1), max(rare, 1)]])
     unigram /= unigram.sum()
     model = Model(words, n, symbols, np.ones(states) / states, np.ones((states, states)) / states, np.repeat(unigram[:, None], states, 1), int(sums[0]), int(sums[1]), float(rare + rare_types + 1))
-    some = train.where(F.octet_length("text") <= START_BYTES).orderBy(F.xxhash64("doc_id"), "doc_id").limit(START_DOCS)
+    some = sampled(train.where(F.octet_length("text") <= START_BYTES), START_DOCS, "doc_id", "text")
     seqs = [model.sequence(model.ids(tokens(r.text))) for r in some.select("text").toLocalIterator()]
     model.start, model.move, model.emit = first_fit(seqs, unigram, states, START_ROUNDS)
     for _ in range(rounds):
@@ -247,8 +263,8 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text")
     model.index = None
     held = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c != text]
-    names = fresh(docs.select(*kept), "n_tokens", "n_known", "train_tokens", "base_score", "score", "row_", "tail_", "n_rare_", "head_", "rare_", "path_")
-    tokens_, known, train_n, base, total, row, tail, n_rare, head_sum, rare_sum, path = names
+    names = fresh(docs.select(*kept), "n_tokens", "n_known", "train_tokens", "base_score", "score", "row_", "tail_", "n_rare_", "head_", "rare_", "path_", "r_", "seen_", "logs_")
+    tokens_, known, train_n, base, total, row, tail, n_rare, head_sum, rare_sum, path, r_, seen_, logs_ = names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
@@ -274,11 +290,11 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text")
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text), f"`{tokens_}` bigint, `{known}` bigint, `{n_rare}` bigint, `{head_sum}` double, `{rare_sum}` double, `{path}` double, `{tail}` array<struct<word: binary, n: bigint>>"])
     part = written(docs.mapInArrow(run, schema).withColumn(row, F.monotonically_increasing_id()))
-    far = part.select(F.col(row).alias("r"), F.inline(tail)).withColumnRenamed("n", "times")
-    far = far.join(counts, "word").groupBy("r").agg(F.sum("times").alias("seen"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("logs"))
+    far = part.select(F.col(row).alias(r_), F.inline(tail)).withColumnRenamed("n", "times")
+    far = far.join(counts, "word").groupBy(r_).agg(F.sum("times").alias(seen_), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias(logs_))
     ends = counts.where(F.col("word") == F.lit(bytearray(END))).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    out = part.drop(tail).join(far, part[row] == far["r"], "left")
-    seen, logs = F.coalesce("seen", F.lit(0)), F.coalesce("logs", F.lit(0.0))
+    out = part.drop(tail).join(far, part[row] == far[r_], "left")
+    seen, logs = F.coalesce(seen_, F.lit(0)), F.coalesce(logs_, F.lit(0.0))
     return out.select(
         *[F.col(f"`{c}`") for c in kept],
         F.col(tokens_),

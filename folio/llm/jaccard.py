@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, mix, sets, shingles, slices, table, written
+from .common import Words, fresh, mix, sets, shingles, slices, table, written
 from .graph import components
 
 #: Global token orders: all sort by a token's document frequency first (rare ones first), each breaks ties by a hash of its own.
@@ -21,7 +21,7 @@ WORDS = 8
 CHUNK_BYTES = 6 << 20
 #: Bits of a token that its frequency is counted by: tokens alike in them count as one, which every order may do.
 COUNTED = 48
-#: Sets of a block: all pairs of a component are compared block against block.
+#: Rows of a block: all pairs of a component, or of a token's list, are compared block against block.
 BLOCK = 256
 #: Tokens of a frequency bucket.
 BUCKET_TOKENS = 1 << 21
@@ -74,17 +74,19 @@ def parities(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return out
 
 
-def distinct_texts(docs: DataFrame, text: str, k: int) -> DataFrame:
-    """(doc_id, n_shingles, key): key is equal for equal sets, null for none. A map."""
+def distinct_texts(docs: DataFrame, text: str, k: int, key: str = "key") -> DataFrame:
+    """docs plus n_shingles and a key that is equal for equal sets, null for none. A map."""
+    kept = docs.columns
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"n_shingles bigint, `{key}` bigint"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, text):
                 h, begin = token_sets(b.column(text), k)
                 n = np.diff(begin)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(set_keys(h, begin).view(np.int64), mask=n == 0)], names=["doc_id", "n_shingles", "key"])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n, pa.int64()), pa.array(set_keys(h, begin).view(np.int64), mask=n == 0)], names=[*kept, "n_shingles", key])
 
-    return docs.select("doc_id", text).mapInArrow(run, "doc_id bigint, n_shingles bigint, key bigint")
+    return docs.mapInArrow(run, schema)
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -235,6 +237,20 @@ def _verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "members_a", "members_b").mapInArrow(run, "a bigint, b bigint")
 
 
+#: SQL: rows of one pair of blocks, and not both of the same block of two.
+MEET = "x.lo_ = y.lo_ and x.hi_ = y.hi_ and (x.lo_ = x.hi_ or x.block_ <> y.block_)"
+
+
+def blocked(lists: DataFrame, size: str) -> DataFrame:
+    """Rows of (key, `size` of the list that the row is in) for a self-join by pairs of blocks (lo_, hi_): a list of more than
+    about BLOCK rows is cut into blocks by a hash of key, and each row goes to every pair of its block with another, so that
+    no long list is one task's. Any two rows of a list meet in one pair of blocks alone (MEET)."""
+    blocks = F.ceil(F.col(size) / F.lit(BLOCK)).cast("int")
+    cut = lists.withColumn("n_", blocks).withColumn("block_", F.pmod(F.xxhash64("key", F.lit(43)), F.col("n_")).cast("int"))
+    cut = cut.withColumn("other_", F.explode(F.sequence(F.lit(0), F.col("n_") - 1)))
+    return cut.withColumn("lo_", F.least("block_", "other_")).withColumn("hi_", F.greatest("block_", "other_")).drop("n_", "other_", size)
+
+
 def links(found: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) between distinct sets whose components are those of all links.
 
@@ -269,12 +285,12 @@ def links(found: DataFrame, percent: int) -> DataFrame:
     first = written(_verify(chained, found, percent))
     label = components(first)
     marked = written(lists.join(label, lists["key"] == label["node"], "left").select("token", "n", "alone", "key", F.coalesce("component", "key").alias("c")))
-    mixed = marked.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
+    mixed = marked.groupBy("token").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("m")).where("c0 <> c1").select("token", "m")
     prefixes = [f"p{o}" for o in range(ORDERS)]
-    left = marked.join(mixed, "token", "left_semi").join(found.select("key", *prefixes, *[f"s{w}" for w in range(WORDS)]), "key")
+    left = blocked(marked.join(mixed, "token"), "m").join(found.select("key", *prefixes, *[f"s{w}" for w in range(WORDS)]), "key")
     # a pair comes from its first common token alone, and only if its bitmaps allow a link and it shares a prefix token under
     # the other orders as well
-    same = [f"x.token = y.token and x.c < y.c and {_may(percent, 'x', 'y')}", _near(percent, "x", "y"), *[f"arrays_overlap(x.{p}, y.{p})" for p in prefixes[1:]], "x.token = element_at(array_intersect(x.p0, y.p0), 1)"]
+    same = [f"x.token = y.token and x.c < y.c and {MEET} and {_may(percent, 'x', 'y')}", _near(percent, "x", "y"), *[f"arrays_overlap(x.{p}, y.{p})" for p in prefixes[1:]], "x.token = element_at(array_intersect(x.p0, y.p0), 1)"]
     pairs = left.alias("x").join(left.alias("y"), F.expr(" and ".join(same)))
     pairs = pairs.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
     return first.unionByName(_verify(pairs, found, percent))
@@ -290,6 +306,26 @@ def cluster(docs: DataFrame, text: str = "text", k: int = 4, percent: int = 85)
     return _clustered(docs, text, k, percent)[0].drop("key")
 
 
+def one_of_each(docs: DataFrame, text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """docs with one row of each component of cluster(): that of the least doc_id (null only if no member has one), among rows
+    of that id that of the least key, and one row of these if several are alike in both. Rows without shingles link with
+    nothing and stay, all of them. Columns stay as they are."""
+    _, keyed, _, label = _clustered(docs, text, k, percent)
+    named = keyed.where("key is not null").groupBy("key", "doc_id").agg(F.count("*").alias("n"))
+    named = named.join(label, named["key"] == label["node"], "left").withColumn("c", F.coalesce("component", "key"))
+    least = named.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null_"), F.col("doc_id").alias("id_"), F.col("key").alias("key_"), "n")).alias("r"))
+    least = written(least.select("r.*"))
+    name = fresh(docs, "key_", "n_shingles")[0]
+    d = distinct_texts(docs.select([F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]), f"c{docs.columns.index(text)}", k, name)
+    at = f"c{docs.columns.index('doc_id')}"
+    same = (d[name] == least["key_"]) & d[at].eqNullSafe(least["id_"])
+    stay = d.where(F.col(name).isNotNull()).join(least.select("key_", "id_"), same, "left_semi")
+    if not least.where("n > 1").isEmpty():
+        stay = stay.dropDuplicates([name, at])
+    out = stay.unionByName(d.where(F.col(name).isNull()))
+    return out.select([F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def linked(docs: DataFrame, text: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
     """cluster() and n_links: how many other rows of docs each row links with, copies (equal sets) among them. A row without
     shingles has 0."""
@@ -352,7 +388,7 @@ def counts(sets_: DataFrame, percent: int) -> DataFrame:
 
 
 def _clustered(docs: DataFrame, text: str, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    keyed = written(distinct_texts(docs, text, k))
+    keyed = written(distinct_texts(docs.select("doc_id", text), text, k).select("doc_id", "n_shingles", "key"))
     found = written(candidates(docs, text, k, percent))
     label = components(links(found, percent))
     nodes = keyed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))

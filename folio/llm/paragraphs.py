@@ -10,9 +10,9 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, Words, mix, powers, sets, shingles, slices, table, written
+from .common import SLICE_BYTES, Words, fresh, mix, powers, removed, sets, shingles, slices, table, written
 from .graph import components
-from .jaccard import CHUNK_BYTES, WORDS, _column, _near, _pack, _unpack, parities
+from .jaccard import CHUNK_BYTES, MEET, WORDS, _column, _near, _pack, _unpack, blocked, parities
 
 #: Words of a shingle, the similarity of a link, the recall that bands are tuned for at it, and rows of a band.
 K, SIMILARITY, RECALL, ROWS = 5, 0.8, 0.995, 3
@@ -26,8 +26,9 @@ RUN_WORDS = 30
 #: of text that has one at least: a repeated run holds a whole stretch, and so the same anchor in each of its places.
 WINDOW, ANCHOR = 50, 20
 STRETCH = WINDOW - ANCHOR + 1
-#: Bits of the filter that picks the lines to verify, and its segments.
-FILTER_BITS, SEGMENTS = 26, 64
+#: Bits of a filter of keys: so many for each key, as a power of two between these (64 MB at most; a fuller filter lets more
+#: through to the exact step and loses none); and its segments.
+BITS_A_KEY, LEAST_BITS, MOST_BITS, SEGMENTS = 16, 20, 29, 64
 _U = np.uint64
 
 
@@ -100,8 +101,7 @@ class Parts:
     def windows(self, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hashes and first words of the windows that hold an anchor which the filter knows."""
         a, at = self.anchors()
-        k = a & _U((1 << FILTER_BITS) - 1)
-        at = at[((bits[(k >> _U(3)).astype(np.int64)] >> (k & _U(7)).astype(np.uint8)) & 1) > 0]
+        at = at[_known(bits, a)]
         if not len(at):
             return np.zeros(0, np.uint64), at
         h, whole = self._grams(WINDOW, 3)
@@ -155,14 +155,21 @@ def _lines(docs: DataFrame, text: str, bands: int) -> DataFrame:
     return docs.select("doc_id", text).mapInArrow(run, "key bigint, doc_id bigint, line_no bigint, bands array<bigint>")
 
 
+def _known(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys' bits are set."""
+    k = keys & _U(8 * len(bits) - 1)
+    return (bits[(k >> _U(3)).astype(np.int64)] >> (k & _U(7)).astype(np.uint8)) & 1 > 0
+
+
 def _filter_of(keys: DataFrame) -> np.ndarray:
-    """A bit for each value of the last FILTER_BITS bits of the keys: 8 MB, whatever the number of keys."""
-    width = 1 << (FILTER_BITS - 3)
+    """A bit for each value of the keys' last bits, as many as their number asks for."""
+    keys = written(keys)
+    width = 1 << (min(MOST_BITS, max(LEAST_BITS, (keys.count() * BITS_A_KEY).bit_length())) - 3)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(width, np.uint8)
         for b in batches:
-            k = b.column(0).to_numpy().view(np.uint64) & _U((1 << FILTER_BITS) - 1)
+            k = b.column(0).to_numpy().view(np.uint64) & _U(8 * width - 1)
             np.bitwise_or.at(bits, (k >> _U(3)).astype(np.int64), (_U(1) << (k & _U(7))).astype(np.uint8))
         parts = [(i, x) for i, x in enumerate(bits.reshape(SEGMENTS, -1)) if x.any()]
         yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()), pa.array([zstandard.compress(x.tobytes(), 1) for _, x in parts], pa.binary())], names=["segment", "bits"])
@@ -177,6 +184,7 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
     bits = np.zeros((SEGMENTS, width // SEGMENTS), np.uint8)
     for r in keys.mapInArrow(mark, "segment int, bits binary").groupBy("segment").applyInArrow(merge, "segment int, bits binary").toLocalIterator():
         bits[r.segment] = np.frombuffer(zstandard.decompress(bytes(r.bits)), np.uint8)
+    removed(keys)
     return bits.reshape(-1)
 
 
@@ -217,9 +225,7 @@ def near_paragraphs(docs: DataFrame, text: str = "text", similarity: float = SIM
         for whole in batches:
             for b in slices(whole, text):
                 p = Parts(b.column(text))
-                k = p.line_key & _U((1 << FILTER_BITS) - 1)
-                hit = (bits[(k >> _U(3)).astype(np.int64)] >> (k & _U(7)).astype(np.uint8)) & 1
-                keep = np.flatnonzero((np.diff(p.line) >= PARAGRAPH_WORDS) & (hit > 0))
+                keep = np.flatnonzero((np.diff(p.line) >= PARAGRAPH_WORDS) & _known(bits, p.line_key))
                 if not len(keep):
                     continue
                 _, one = np.unique(p.line_key[keep], return_index=True)
@@ -254,13 +260,13 @@ def near_paragraphs(docs: DataFrame, text: str = "text", similarity: float = SIM
     label = components(linked)
     # buckets whose members are still in different components: all pairs across these, but those already held against a hub
     marked = written(met.join(label, met["key"] == label["node"], "left").select("band", "hash", "lo", "hi", "key", F.coalesce("component", "key").alias("c")))
-    mixed = marked.groupBy("band", "hash").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("m")).where("c0 <> c1 and m > 2").select("band", "hash")
+    mixed = marked.groupBy("band", "hash").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("m")).where("c0 <> c1 and m > 2").select("band", "hash", "m")
     sketch = lines.join(found, "key", "left_semi").dropDuplicates(["key"]).select("key", "bands")
-    left = written(marked.where("key <> lo and key <> hi").join(mixed, ["band", "hash"], "left_semi").join(found.select("key", "n", *marks), "key").join(sketch, "key"))
+    left = written(blocked(marked.where("key <> lo and key <> hi").join(mixed, ["band", "hash"]), "m").join(found.select("key", "n", *marks), "key").join(sketch, "key"))
     # a pair comes from its first common band alone, and only if its bitmaps allow a link
     alone = "array_position(zip_with(x.bands, y.bands, (p, q) -> p = q), true) = x.band + 1"
     sizes = f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
-    same = ["x.band = y.band and x.hash = y.hash and x.c < y.c", sizes, _near(percent, "x", "y"), alone]
+    same = [f"x.band = y.band and x.hash = y.hash and x.c < y.c and {MEET}", sizes, _near(percent, "x", "y"), alone]
     more = left.alias("x").join(left.alias("y"), F.expr(" and ".join(same))).select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
     label = components(linked.unionByName(verified(more)))
     named = written(first.join(label, first["key"] == label["node"], "left").where("n > 1 or component is not null").select("key", "at", F.coalesce("component", "key").alias("component")))
@@ -269,22 +275,32 @@ def near_paragraphs(docs: DataFrame, text: str = "text", similarity: float = SIM
 
 
 def dedup(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, run_words: int = RUN_WORDS) -> DataFrame:
-    """docs with repeated passages cut out of text, plus words_, removed_words, kept_in (see below).
+    """docs with repeated passages cut out of text, plus n_words, removed_words, kept_in (see below).
 
     Two things repeat: a paragraph (a line of 20 words or more) whose 5-word shingles are 80 % like an earlier one's, found
     by MinHash bands, verified exactly and clustered by components; and a sentence, or a run of WINDOW words wherever it
     begins, equal to an earlier one. Earlier is by doc_id, then by place; the first occurrence stays. Such a paragraph is cut
     whatever its length; where other repeated words in a row come to `run_words` or more they are cut, with the space after
     them; anything shorter is left as it is, so a document without such a run keeps its text to the byte. n_words and removed_words are counts; kept_in lists (ascending, distinct) the
-    doc_ids that hold the copies which stay. Null and empty texts stay as they are. Of repeated rows, and of rows that share
-    a doc_id, the first (by text) keeps a passage. Null doc_ids come before others. Clashing columns n_words,
-    removed_words and kept_in are replaced.
+    doc_ids that hold the copies which stay. Null and empty texts stay as they are. Of rows that share a doc_id, the first
+    (by text) keeps a passage; rows alike in doc_id and text are one document and get the same result. Null doc_ids come
+    before others. A new name that docs already has gets underscores at its end.
 
     Every WINDOW words in a row that repeat hold an anchor (20 words chosen by their hashes) that repeats too: all windows about
     such anchors count as sentences do. Chunks send their sentences' and windows' hashes, with the least doc_id that has each, to buckets by range and get a byte and a
     doc_id for each that repeats: texts cross once, hashes in a few bytes, and a passage that many documents have is
     one row from each chunk."""
-    docs = docs.drop("n_words", "removed_words", "kept_in")
+    names = fresh(docs, "n_words", "removed_words", "kept_in")
+    key = [F.col("doc_id"), F.xxhash64(text), F.xxhash64(F.lit(5), text)]
+    if not docs.groupBy(*[k.alias(f"k{i}") for i, k in enumerate(key)]).count().where("count > 1").isEmpty():
+        # repeated rows are cut once and joined to: however many there are, no chunk holds them
+        few = docs.select("doc_id", F.col(text).alias("text_")).dropDuplicates()
+        cut = dedup(few.withColumn("h1_", F.xxhash64("text_")).withColumn("h2_", F.xxhash64(F.lit(5), "text_")), "text_", similarity, run_words)
+        cut = cut.select(F.col("doc_id").alias("id_"), "h1_", "h2_", F.struct("text_", "n_words", "removed_words", "kept_in").alias("new_"))
+        d = docs.select(F.struct("*").alias("row_"), *[k.alias(n) for k, n in zip(key, ("id_", "h1_", "h2_"))])
+        d = d.alias("d").join(cut.alias("c"), F.expr("d.id_ <=> c.id_ and d.h1_ = c.h1_ and d.h2_ = c.h2_"))
+        kept = [F.col(f"new_.text_").alias(text) if c == text else F.col(f"row_.`{c}`").alias(c) for c in docs.columns]
+        return d.select(*kept, *[F.col(f"new_.{a}").alias(b) for a, b in zip(("n_words", "removed_words", "kept_in"), names)])
     near = near_paragraphs(docs, text, similarity)
     anchored = docs.sparkSession.sparkContext.broadcast(_repeated_anchors(docs, text))
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)), F.count("*")).first()
@@ -292,7 +308,8 @@ def dedup(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, r
     bits = min(20, max(0, int(np.ceil(np.log2(max(1, size[0] / 50 / (1 << 19)))))))
     columns = docs.columns
     chunk = F.pmod(F.xxhash64("doc_id", F.substring(text, 1, 64), F.lit(23)), F.lit(chunks)).cast("int")
-    dealt = docs.withColumn("chunk_", chunk).groupBy("chunk_")
+    chunk_name = fresh(docs, "chunk_")[0]
+    dealt = docs.withColumn(chunk_name, chunk).groupBy(chunk_name)
 
     def ordered(t):
         # by doc_id (null first), then text
@@ -468,13 +485,13 @@ def dedup(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, r
                 out.append(s)
         kept_in = [[x for x in k if x != none] for k in kept_in]
         got = {c: (pa.array(out, pa.string()) if c == text else _column(t, c)) for c in columns}
-        return pa.table(got | {"n_words": pa.array(words, pa.int64()), "removed_words": pa.array(removed, pa.int64()), "kept_in": pa.array(kept_in, pa.list_(pa.int64()))})
+        return pa.table(got | dict(zip(names, (pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept_in, pa.list_(pa.int64()))))))
 
     answers = dealt.applyInArrow(send, "chunk_ int, bucket int, packed binary, owner binary, more binary").groupBy("bucket").applyInArrow(tally, "chunk_ int, bucket int, answer binary")
     where = docs.select(chunk.alias("chunk_"), "doc_id", text).mapInArrow(_line_keys(text), "chunk_ int, key bigint").distinct()
     told = where.join(near, "key").select("chunk_", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("answer"), "key", "keeper_doc", "keeper_line")
     answers = answers.select("chunk_", "bucket", "answer", F.lit(None).cast("bigint").alias("key"), F.lit(None).cast("bigint").alias("keeper_doc"), F.lit(None).cast("bigint").alias("keeper_line")).unionByName(told)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "n_words bigint, removed_words bigint, kept_in array<bigint>"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{names[0]}` bigint, `{names[1]}` bigint, `{names[2]}` array<bigint>"])
     return dealt.cogroup(answers.groupBy("chunk_")).applyInArrow(cut, schema)
 
 

@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, table, written
+from .common import sampled, shared_dir, table, written
 
 #: Magic number of the leading skippable frame that holds the dictionary.
 DICT_FRAME = 0x184D2A5D
@@ -155,10 +155,10 @@ def write(pages: DataFrame, folder: str, records: int = DICT_RECORDS) -> DataFra
 
     Null html counts as empty. Of equal payloads, the record of the largest page_id is the response and the others revisit
     it; empty payloads too. Repeated rows with that page_id are all responses; a null page_id is less than any other.
-    The dictionary is built from the `records` pages with the least hashes of page_id, at most 64 KiB of each. Each
+    The dictionary is built from about `records` pages, those with the least hashes of page_id and html, at most 64 KiB of each. Each
     attempt of a task writes its own files and only those of successful ones are in the table: a lost executor leaves at
     most unused files. Columns other than these three are ignored."""
-    some = pages.select("page_id", "url", F.substring(F.encode(F.coalesce("html", F.lit("")), "UTF-8"), 1, DICT_RECORD_BYTES).alias("payload")).orderBy(F.xxhash64("page_id"), "page_id").limit(records)
+    some = sampled(pages, records, "page_id", "html").select("page_id", "url", F.substring(F.encode(F.coalesce("html", F.lit("")), "UTF-8"), 1, DICT_RECORD_BYTES).alias("payload"))
     dictionary = train_dictionary([build_record(r.page_id, r.url, bytes(r.payload)) for r in some.toLocalIterator()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
