@@ -8,30 +8,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.llm import bpe, decontam, jaccard, langid, paragraphs
-from folio.llm.common import table, written
+from folio.llm.common import removed, table, written
+
+#: Least share of a text's words that the language model has evidence of: known words, or known n-grams of two characters or more.
+EVIDENCE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language is recognised: texts that are null or without letters go. Learns from the documents
-    whose lang is not null; all columns stay as they are."""
+    """Keeps documents whose language is recognised. Those go whose prediction is `und` (null text, no letter) and those that are
+    in none of the languages learned: the prediction rests on under EVIDENCE of their words. Learns from the documents whose
+    lang is not null; if none is, only texts without a letter go. All columns stay as they are."""
     model = langid.fit(docs.select("doc_id", "text", "lang"))
-    return langid.identify(docs, model).where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    if not model.langs:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    got = langid.identify(docs, model)
+    pred, _, evidence = got.columns[len(docs.columns) :]
+    return got.where((F.col(pred) != langid.UNKNOWN) & (F.col(evidence) >= EVIDENCE)).select(*docs.columns)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates (5-word shingles, similarity 0.8): the one of least doc_id, and one
-    row of it. Rows without doc_id stay unless an equal set of shingles has one."""
-    groups = jaccard.cluster(docs.select("doc_id", "text"), k=5, percent=80)
-    keep = groups.select("doc_id", "component_id").where("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias("kept_")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept_"]), "left_semi").dropDuplicates(["doc_id", "text"])
+    row of it. A row without doc_id stays only where its group has no row with one, and then once."""
+    return jaccard.one_of_each(docs, k=5, percent=80)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts repeated passages out of texts; n_chars follows. A document of which nothing is left but white space goes."""
+    """Cuts repeated passages out of texts; n_chars follows where a text changes. A document of which nothing is left but white
+    space goes."""
     got = paragraphs.dedup(docs)
-    left = got.where((F.col("removed_words") == 0) | (F.col("removed_words") < F.col("n_words")))
-    out = left.select(*docs.columns)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    n_words, cut, _ = got.columns[len(docs.columns) :]
+    left = got.where((F.col(cut) == 0) | (F.col(cut) < F.col(n_words)))
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.when(F.col(cut) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return left.select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +49,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds n_tokens, ids_sha256, decoded_sha256 and token_ids."""
-    return bpe.encode(docs, ids=True).drop("decoded")
+    """Adds n_tokens, ids_sha256, decoded_sha256 and token_ids; a name that docs already has gets underscores at its end."""
+    out = bpe.encode(docs, ids=True)
+    return out.drop(out.columns[-1])
 
 
 STAGES = [
@@ -59,7 +69,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = written(docs)
+            if k:
+                removed(before)
     return docs
