@@ -390,9 +390,9 @@ def render(node: Node, depth: int = 0, state: tuple[bool, bool, str] = (False, F
     return out.done()
 
 
-def _span(cell: Node, name: str, most: int, otherwise: int) -> int:
+def _span(cell: Node, name: str, most: int) -> int:
     got = cell.attrs.get(name, "").strip()
-    return min(int(got), most) if got.isascii() and got.isdecimal() and len(got) < 1000 and int(got) else otherwise
+    return min(int(got), most) if got.isascii() and got.isdecimal() and len(got) < 1000 else 1
 
 
 def _table(node: Node, depth: int, state: tuple[bool, bool, str]) -> list[str]:
@@ -423,7 +423,7 @@ def _table(node: Node, depth: int, state: tuple[bool, bool, str]) -> list[str]:
                     if cell.tag in ("td", "th") and boxed(cell):
                         box = Node("div")
                         box.children = cell.children
-                        wide, high = _span(cell, "colspan", MOST_COLUMNS, 1), _span(cell, "rowspan", MOST_ROWS, 1)
+                        wide, high = max(_span(cell, "colspan", MOST_COLUMNS), 1), _span(cell, "rowspan", MOST_ROWS)
                         high = (group if high == 0 else min(no + high, group)) - no
                         row.append((at, wide, render(box, depth + 1, (pre, unseen(cell, inner[1]), drawing)).split("\n")))
                         if high > 1:

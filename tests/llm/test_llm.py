@@ -2,16 +2,23 @@
 
 import hashlib
 import io
+import itertools
+import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import duckdb
 import numpy as np
 import pytest
+import regex
+from pyspark.sql import functions as F
 
-from folio.llm import bpe, chat, decontam, graph, hmm, html, jaccard, langid, paragraphs, syncmers, warc
+from folio.llm import bpe, chat, decontam, graph, hmm, html, jaccard, langid, paragraphs, queries, syncmers, warc
+from folio.llm.common import sampled, written
 
 SF = "/root/testdata/sf0.001"
 R = random.Random(3)
@@ -103,26 +110,73 @@ def test_bpe(spark, docs, empty):
     from tokenizers import Tokenizer
 
     lib = Tokenizer.from_file(bpe.vocabulary_path())
-    odd = ["", None, "ΣΑΣ σς", "x<|endoftext|>y", "a\x1cb\u0085c", "İx ²³", "don't we'll", "日本語", "a" * 400, "in" * 40, "%%%ab", LONG]
+    odd = ["", None, "ΣΑΣ σς", "x<|endoftext|>y", "a\x1cb\u0085c", "İx ²³", "don't we'll", "日本語", "a" * 400, "in" * 40, "%%%ab", LONG, *["thereinandout"[: n % 13 + 1] * (n // 13) for n in (40, 46, 47, 48, 49, 50, 52)], *[("abcdefghij" * 20)[:n] for n in (47, 48, 49, 159, 160, 161, 162)], *["\u00e9" * n for n in (23, 24, 25, 80, 81)]]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "doc_id bigint, text string")
     for r in bpe.encode(df, ids=True).collect():
         e = lib.encode(odd[r.doc_id] or "", add_special_tokens=False)
         assert r.token_ids == e.ids and r.n_tokens == len(e.ids)
         assert r.decoded == lib.decode(e.ids, skip_special_tokens=False)
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, e.ids)).encode()).hexdigest()
+    assert not bpe.tokenizer(bpe.vocabulary_path()).cache
     out = bpe.encode(docs)
     assert "n_tokens_" in out.columns and out.count() == len(DOCS) and bpe.encode(empty).count() == 0
 
 
+def brute_langid(rows, texts):
+    """Word-first backoff over plain dictionaries: (best languages within rounding, share of the best)."""
+    words = lambda t: regex.findall(r"\p{L}[\p{L}\p{M}]*", (t or "").lower())
+    w, g = {}, {}
+    for t, lang in rows:
+        for x in words(t):
+            w.setdefault(lang, Counter())[x] += 1
+            for n in range(1, 6):
+                for i in range(len(x) + 3 - n):
+                    g.setdefault(lang, Counter())[f"^{x}$"[i : i + n]] += 1
+    langs = sorted(w)
+    seen = {"w": {x for c in w.values() for x in c}, "g": {x for c in g.values() for x in c}}
+    total = {(lang, n): sum(k for x, k in g[lang].items() if len(x) == n) for lang in langs for n in range(1, 6)}
+
+    def of(lang, x):
+        if x in seen["w"]:
+            return math.log10((w[lang][x] + 0.5) / (sum(w[lang].values()) + 0.5 * len(seen["w"])))
+        for n in range(5, 0, -1):
+            some = [y for i in range(len(x) + 3 - n) if (y := f"^{x}$"[i : i + n]) in seen["g"]]
+            if some:
+                return sum(math.log10((g[lang][y] + 0.5) / (total[lang, n] + 0.5 * len(seen["g"]))) for y in some) / len(some) - 0.4 * (6 - n)
+        return 0.0
+
+    out = []
+    for t in texts:
+        s = {lang: sum(of(lang, x) for x in words(t)) * math.log(10) for lang in langs}
+        top = max(s.values(), default=0)
+        out.append(("und", 0.0) if not words(t) else (max(langs, key=lambda x: (s[x], [-ord(c) for c in x])), 1 / sum(math.exp(v - top) for v in s.values())))
+    return out
+
+
 def test_langid(spark, docs, empty):
     rows = spark.read.parquet(f"{SF}/documents.parquet")
     model = langid.fit(rows.where("doc_id % 4 <> 2"))
     held = langid.identify(rows.where("doc_id % 4 = 2"), model)
     assert held.where("lang <> lang_pred").count() <= 1 and held.where("score < 0 or score > 1").count() == 0
-    assert model.predict([None, "", "123 ..."]) == [("und", 0.0)] * 3
-    assert langid.fit(rows.limit(0)).predict(["abc"]) == [("und", 0.0)]
-    got = langid.identify(docs, model)
-    assert got.count() == len(DOCS) and "score" in got.columns and langid.identify(empty, model).count() == 0
+    assert [p[:2] for p in model.predict([None, "", "123 ...", "\u00b2 \u00bd \u2460"])] == [("und", 0.0)] * 4
+    assert langid.fit(rows.limit(0)).predict(["abc"]) == [("und", 0.0, 0.0)]
+    got = langid.identify(docs.withColumn("lang_pred", F.lit("mine")), model)
+    assert got.count() == len(DOCS) and got.columns[-3:] == ["lang_pred_", "score_", "evidence"] and langid.identify(empty, model).count() == 0
+    assert model.predict(["\u65e5\u672c\u8a9e"])[0][2] == 0 and model.predict([LONG])[0] == model.predict([LONG])[0]
+    assert len(langid.words_of("\u0928\u092e\u0938\u094d\u0924\u0947")) == 1
+
+
+def test_langid_brute(spark):
+    rows = [(r.text, r.lang) for r in spark.read.parquet(f"{SF}/documents.parquet").select("text", "lang").orderBy("doc_id").limit(60).collect()]
+    model = langid.fit(spark.createDataFrame([(i, *r) for i, r in enumerate([*rows, (None, "en"), ("zz", None)])], "doc_id bigint, text string, lang string"))
+    texts = ["the und", "qqq", "Thth", "ein", "x" * 300 + "the", "enthe" * 20, None, "3 + 4", "\u00e9t\u00e9 la", "\u65e5\u672c", *[t[-90:] for t, _ in rows[:25]], rows[3][0], rows[3][0]]
+    for (lang, share, _), (want, other) in zip(model.predict(texts), brute_langid(rows, texts)):
+        assert abs(share - other) < 2e-4 and (lang == want or abs(share - 0.5) < 0.01)
+
+
+def test_sampled(spark):
+    df = spark.range(20_000).selectExpr("id", "cast(id % 7 as string) as t")
+    assert 350 < sampled(df, 500, "id", "t").count() < 650 and sampled(df, 20_000, "id").count() == 20_000 and sampled(df.limit(0), 5, "id").count() == 0
 
 
 def test_hmm_is_exact():
@@ -148,7 +202,7 @@ def test_hmm_is_exact():
 def test_hmm(spark, docs, empty):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     train = rows.where("doc_id % 3 > 0")
-    counts = jaccard.written(hmm.word_counts(train))
+    counts = written(hmm.word_counts(train))
     model = hmm.fit(train, counts, states=3, symbols=200, head=500, rounds=1)
     got = hmm.score(rows, model, counts).collect()
     c, texts = Counter(), {r.doc_id: r.text for r in rows.collect()}
@@ -163,6 +217,24 @@ def test_hmm(spark, docs, empty):
         assert abs(r.base_score - sum(np.log10((c[w] + 1) / (n + v + 1)) for w in t)) < 1e-6
     held = [r for r in got if r.doc_id % 3 == 0]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+    again = [hmm.score(docs.withColumnRenamed("score", x).withColumnRenamed("n_tokens", y), model, counts) for x, y in (("seen", "logs"), ("word", "n"), ("row_", "times"))]
+    assert [x.count() for x in again] == [len(DOCS)] * 3 and "seen" in again[0].columns
+    # whole scores, rare words' shares included, by a plain recursion over each text
+    first, rare = {w: i for i, w in enumerate(model.words[: model.symbols])}, 0
+    for r in got[:40] + got[-3:]:
+        symbols = [model.symbols if w == b"\n" else first.get(w, model.symbols + 1) for w in toks[r.doc_id]]
+        a, total = model.start * model.emit[symbols[0]], 0.0
+        for k, x in enumerate(symbols):
+            a = (a @ model.move) * model.emit[x] if k else a
+            total, a = total + math.log10(a.sum()), a / a.sum()
+        for w, x in zip(toks[r.doc_id], symbols):
+            if x == model.symbols + 1:
+                rare += 1
+                total += math.log10((c[w] + 1) / model.rare_total)
+        assert abs(total - r.score) < 1e-6 * max(1, abs(total))
+    assert rare
+    some = hmm.frequent(counts, 50).collect()
+    assert 0 < len(some) <= 50 and min(x.n for x in some) > max(x.n for x in counts.where(~F.col("word").isin([bytearray(x.word) for x in some])).collect())
     assert hmm.score(docs, model, counts).count() == len(DOCS)
     none = hmm.word_counts(empty)
     assert hmm.score(docs, hmm.fit(empty, none, states=2), none).count() == len(DOCS)
@@ -170,10 +242,12 @@ def test_hmm(spark, docs, empty):
 
 def test_warc(spark, tmp_path):
     big = "é" * 200_000
+    big += "x" * 3_000_000
     pages = spark.createDataFrame([(1, "u", "<p>a"), (2, None, "<p>a"), (3, "u\r\nx", None), (4, "u", ""), (5, "u", big), (None, "u", "<p>a"), (6, "u", "<p>b"), (6, "u", "<p>b")], "page_id bigint, url string, html string")
+    pages = pages.withColumn("payload", F.lit(3)).withColumn("keeper", F.lit(4)).withColumn("sha_", F.lit("s"))
     archives = warc.write(pages, str(tmp_path / "w"))
     got = sorted(((r.page_id or 0, r.record_type, r.refers_to, r.payload_bytes) for r in warc.read(archives).collect()))
-    assert [g for g in got if g[0]] == [(1, "revisit", 2, 4), (2, "response", None, 4), (3, "revisit", 4, 0), (4, "response", None, 0), (5, "response", None, 400_000), (6, "response", None, 4), (6, "response", None, 4)]
+    assert [g for g in got if g[0]] == [(1, "revisit", 2, 4), (2, "response", None, 4), (3, "revisit", 4, 0), (4, "response", None, 0), (5, "response", None, 3_400_000), (6, "response", None, 4), (6, "response", None, 4)]
     assert warc.read(warc.write(pages.limit(0), str(tmp_path / "e"))).count() == 0
     path = archives.first().path
     raw = open(path, "rb").read()
@@ -199,9 +273,55 @@ def test_html():
     assert len(see("<div>" * 5000 + "deep")) == 4 and see("<title>t</title><p>x</p>") == "x"
 
 
+def test_html_layout():
+    see = html.visible_text
+    assert see("<table><tr><td rowspan=2>a1<td>b1<td>c1<tr><td>b2<td>c2<tr><td>a3<td>b3</table>") == "a1  b1  c1\n    b2  c2\na3  b3"
+    assert see("<table><tr><td rowspan=0>a<td>b<tr><td>c<tbody><tr><td>d<td>e</table>") == "a  b\n   c\nd  e"
+    assert see("<table><tr><td colspan=2>wide cell<td>z<tr><td>a<td>b<td>c</table>").split("\n")[1].split() == ["a", "b", "c"]
+    assert see("<div style='visibility:hidden'>no<p style='visibility: visible'>yes</p>no</div>end") == "yes\n\nend"
+    assert see("<svg><title>t</title><text>La<tspan>bel</tspan></text><path d='M'/></svg><math><mi>a</mi><annotation>tex</annotation></math>") == "Label\na"
+    assert see('<a title="x > y" href=\'z"\'>k</a>') == "k" and see('a <b class="never closed') == "a"
+    assert see("<table>" * 60 + "<tr><td>deep") == "deep"
+
+
+@pytest.mark.parametrize("page", ['<a ' + '"x" ' * 250_000, '<a b="' * 150_000, "<div>" * 60_000 + "</p>" * 60_000, "<div><table><td>" + "<b></div>" * 60_000, "<p><table><td>" + "<i><p>" * 40_000, "<table><tr><template>" + "<b></tr>" * 60_000, "<!--" * 200_000, "<table>" + "<tr><td rowspan=65534 colspan=1000>x" * 20_000, "<table><tr><td>" + "x" * 300_000 + "<td>y" + "<tr><td>a<td>b" * 20_000], ids=range(9))
+def test_html_is_linear(page):
+    at = time.time()
+    assert len(html.visible_text(page)) < 1_000_000
+    assert time.time() - at < 10
+
+
+class Plain(HTMLParser):
+    def __init__(self, page):
+        super().__init__()
+        self.out, self.off = [], 0
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        self.off += tag in ("script", "style", "head", "template", "noscript")
+
+    def handle_endtag(self, tag):
+        self.off -= tag in ("script", "style", "head", "template", "noscript")
+
+    def handle_data(self, data):
+        if not self.off:
+            self.out += data.split()
+
+
+def test_html_against_another_parser(spark):
+    """All visible text of whole pages, layout apart, as the library's parser gives it; through the query."""
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    got = queries.queries()["op6_html"](spark, SF).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        assert "".join(re.sub(r"^(\s*)- ", r"\1", r.text, flags=re.M).split()) == "".join(Plain(pages[r.page_id]).out) and r.n_chars == len(r.text)
+
+
 def test_html_table(spark):
     df = spark.createDataFrame([(1, "<p>a", "t"), (2, None, "t")], "page_id bigint, html string, text string")
     assert [(r.page_id, r.text, r.text_, r.n_chars) for r in html.extract(df).collect()] == [(1, "t", "a", 1), (2, "t", "", 0)]
+    assert html.extract(df.limit(0)).count() == 0
 
 
 def brute_overlap(t, item):
@@ -215,30 +335,61 @@ def brute_overlap(t, item):
     return best, n
 
 
-@pytest.mark.parametrize("few", [30_000, 0])
-def test_decontam(spark, few):
+def test_decontam(spark):
     item = text(30).split()
     changed = [w if i % 7 else "zz" for i, w in enumerate(item)]
-    rows = [(1, text(50) + " " + " ".join(item) + ". " + text(9)), (2, " ".join(changed)), (3, text(80)), (4, None), (5, ""), (6, " ".join(item[:8]) + " " + text(30)), (None, " ".join(item))]
-    df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id bigint, text string, item_id int")
-    b = spark.createDataFrame([(10, " ".join(item)), (11, "too short"), (12, None)], "item_id bigint, text string")
-    want = sorted(str(i) for i, t in rows if (lambda m, n: m >= 0.8 * n)(*brute_overlap(t, " ".join(item))))
-    assert sorted(str(r.doc_id) for r in decontam.overlaps(df, b, few=few).collect()) == want
+    rows = [(1, text(50) + " " + " ".join(item) + ". " + text(9)), (2, " ".join(changed)), (3, text(80)), (4, None), (5, ""), (6, " ".join(item[:8]) + " " + text(30)), (None, " ".join(item)), (2, " ".join(changed))]
+    df = spark.createDataFrame([(i, t, 0, "x") for i, t in rows], "doc_id bigint, text string, item_id int, h_ string")
+    b = spark.createDataFrame([(10, " ".join(item)), (11, "?!"), (12, None)], "item_id bigint, text string")
+    want = sorted(str(i) for i, t in set(rows) if (lambda m, n: m >= 0.8 * n)(*brute_overlap(t, " ".join(item))))
+    assert sorted(str(r.doc_id) for r in decontam.overlaps(df, b).collect()) == want
     kept = decontam.clean(df, b)
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "4", "5", "6"] and kept.columns == df.columns
     assert decontam.overlaps(df, b.limit(0)).count() == 0 and decontam.clean(df.limit(0), b).count() == 0
 
 
+def test_decontam_short_items(spark):
+    items = [(n, " ".join(f"i{n}x{k}" for k in range(n))) for n in range(1, 13)]
+    rows = []
+    for n, t in items:
+        for k in range(n):
+            for broken in ({k}, {k, (k + n // 2) % n}):
+                w = ["zz" if j in broken else x for j, x in enumerate(t.split())]
+                rows += [(len(rows), f"aa bb {' '.join(w)} cc"), (len(rows) + 1, " ".join(w).removeprefix("zz "))]
+    df, b = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    want = {(d, i): got for d, t in rows for i, x in items if (got := brute_overlap(t, x))[0] >= 0.8 * got[1]}
+    assert {(r.doc_id, r.item_id): (r.matched, r.of) for r in decontam.overlaps(df, b).collect()} == want and len(want) > 100
+
+
+def test_decontam_masks_lose_nothing():
+    for n in range(decontam.SHORT, decontam.WINDOW + 1):
+        for c in itertools.combinations(range(n), n - math.ceil(n * decontam.SHARE)):
+            assert any(not {s, s + 1, s + g, s + g + 1} & set(c) for g in decontam.MASKS.values() for s in range(n - g - 1))
+
+
+def test_decontam_sql(spark):
+    con = duckdb.connect()
+    for n in ("documents", "benchmark"):
+        con.execute(f"create view {n} as select * from '{SF}/{n}.parquet'")
+    want = con.execute(decontam.OP7_SQL).fetchall()
+    assert want and sorted(want) == sorted(tuple(r) for r in decontam.op7_decontam(spark, SF).select("doc_id", "item_id", "matched", "of").collect())
+
+
 def test_chat(spark):
     con = duckdb.connect()
     turns = [(1, 0, "user", "a"), (2, 0, "user", "a"), (2, 1, "assistant", "b"), (3, 0, "user", "a"), (3, 1, "assistant", "b"), (3, 2, "user", None), (4, 0, "user", "a"), (4, 1, "assistant", "c"), (5, 0, "user", "a"), (5, 1, "assistant", "c"), (5, 1, "assistant", "c"), (None, 0, "system", "z")]
-    turns += [(6, i, "user", f"t{i}") for i in range(2500)]
+    turns += [(6, i, "user", f"t{i}") for i in range(2500)] + [(7, i + 300, "user", f"t{i}") for i in range(1500)] + [(8, 0, "user", "n"), (None, 5, "user", "v")]
+    turns += [(9, None, "user", "b"), (9, None, "user", "a"), (9, 2, None, None), (10, -4, "user", "a"), (10, 1, "user", "b"), (10, 7, "", ""), (11, 3, "b", "x"), (11, 3, "a", "y")]
     df = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
     con.register("conversations", df.toPandas().astype({"conv_id": "Int64"}))
     want = con.execute(f"select conv_id, part, n_turns, text from ({chat.OP8_SQL})").fetchall()
     got = [tuple(r) for r in chat.collapse(df).select("conv_id", "part", "n_turns", "text").collect()]
-    assert sorted(map(repr, got)) == sorted(map(repr, want)) and {g[0] for g in got} == {3, 4, 6, None}
-    assert chat.collapse(df.limit(0)).count() == 0
+    assert sorted(map(repr, got)) == sorted(map(repr, want)) and {g[0] for g in got} == {3, 4, 6, 8, 9, 11, None}
+    more = df.withColumn("block", F.lit(1)).withColumn("id_", F.lit("x")).withColumn("part", F.lit(2))
+    assert sorted(map(repr, [tuple(r) for r in chat.collapse(more).collect()])) == sorted(map(repr, got))
+    assert chat.collapse(df.limit(0)).count() == 0 and chat.collapse(df, block=100).where("conv_id = 6").count() == 25
+    alone = spark.createDataFrame([(None, 0, "user", "a"), (5, 1, "user", "a")], df.schema)
+    assert [r.conv_id for r in chat.collapse(alone).collect()] == [5]
 
 
 def test_syncmers(spark, docs, empty):
@@ -254,11 +405,57 @@ def test_syncmers(spark, docs, empty):
     assert syncmers.with_edits(empty).count() == 0
     prints = {r.doc_id: r.fingerprint for r in syncmers.fingerprints(docs).collect()}
     assert prints[1] == prints[2] != prints[3] and prints[4] == prints[5] == ""
-    cps, off = syncmers._utf32([LONG])
-    at, _ = syncmers._anchors(cps, off, 8, 3)
-    h = {}  # closed syncmers by their definition, over the same order of inner substrings
-    inner = syncmers._anchors(cps, off, 3, 3)[0]
-    assert len(inner) == len(cps) - 2 and 0.2 < len(at) / len(cps) < 0.5 and not h
+
+
+def test_syncmers_by_definition():
+    """Against the definition, over the same order of inner substrings (their hashes are anchors of k = s)."""
+    texts = [LONG[:3000], "a" * 50, "abc", "", "é日" * 40 + LONG[:100]]
+    cps, off = syncmers._utf32(texts)
+    for k, s in ((8, 3), (16, 8)):
+        at, h = syncmers._anchors(cps, off, k, s)
+        whole, inner = syncmers._anchors(np.concatenate([cps, cps[:s]]), np.array([0, len(cps) + s]), s, s)
+        assert (whole == np.arange(len(cps) + 1)).all()
+        want = []
+        for d in range(len(texts)):
+            for i in range(int(off[d]), int(off[d + 1]) - k + 1):
+                v = inner_order(cps, i, k, s)
+                want += [i] * (min(v) in (v[0], v[-1]))
+        assert at.tolist() == want
+        same = {}
+        for i, x in zip(at.tolist(), h.tolist()):
+            assert same.setdefault(cps[i : i + k].tobytes(), x) == x
+        assert len(set(same.values())) == len(same)
+
+
+def inner_order(cps, i, k, s):
+    """The operator's own rank of each inner substring, computed one at a time."""
+    up, down = syncmers.powers(k + 1)
+    out = []
+    for j in range(i, i + k - s + 1):
+        part = syncmers.mix(cps[j : j + s].astype(np.uint64) + np.uint64(1)) * up[:s]
+        out.append(int(syncmers.mix(part.sum(dtype=np.uint64, keepdims=True))[0]))
+    return out
+
+
+@pytest.mark.parametrize("kind", ["small", "62 bits", "signed", "close", "ends", "null", "one", "all null", "repeated", "none"])
+def test_syncmers_successors(spark, kind):
+    r = random.Random(kind)
+    ids = {"small": range(300), "62 bits": [r.getrandbits(62) for _ in range(300)], "signed": [r.getrandbits(63) * r.choice([1, -1]) for _ in range(200)], "close": [2**60 + i for i in range(200)], "ends": [-(2**63), 2**63 - 1, 0, 5], "null": [None] * 30 + list(range(-40, 60)), "one": [7], "all null": [None] * 5, "repeated": [1, 1, 1, 2, 2, 3], "none": []}[kind]
+    rows = [(i, "same" if kind == "repeated" else " ".join(r.choice("abcdefgh") * r.randint(1, 5) for _ in range(r.randint(0, 20)))) for i in ids]
+    df = spark.createDataFrame([(*x, "c") for x in rows], "doc_id bigint, text string, slot string").repartition(3)
+    known = sorted(x for x in rows if x[0] is not None)
+    following = [(*x, known[(j + 1) % len(known)][1]) for j, x in enumerate(known)] + [(i, t, known[0][1] if known else t) for i, t in rows if i is None]
+    want = Counter((i, len(t), hashlib.sha256(syncmers.edited(t, n).encode()).hexdigest()) for i, t, n in following)
+    assert Counter((x.doc_id, x.n_chars, x.edited_sha256) for x in syncmers.with_edits(df).collect()) == want
+
+
+def test_syncmers_density():
+    (h, at), (h2, _) = syncmers.sketches(*syncmers._utf32([LONG * 20, LONG[:50]]))
+    assert len(h) > syncmers.KEEP and len(h2) < syncmers.KEEP
+    a, b = LONG * 8, text(2000) + LONG * 8
+    x, y = syncmers.sketches(*syncmers._utf32([a, b]))
+    assert syncmers.likeness(x, x) == 1 and 0.3 < syncmers.likeness(x, y) < 1
+    assert syncmers.from_text(syncmers.as_text(x))[0].tolist() == x[0].tolist()
 
 
 def test_paragraphs(spark, docs, empty):
@@ -271,11 +468,77 @@ def test_paragraphs(spark, docs, empty):
     assert len(got) == 8
     for i in (1, 3, 5, 6, 7, 8):
         assert got[i].text == dict(rows)[i] and got[i].removed_words == 0
-    assert got[2].kept_in == [1] and passage not in got[2].text and got[2].text.startswith(rows[1][1][:40])
-    assert got[4].kept_in == [3] and got[4].text == ""
+    assert {r.kept_in for r in got.values()} == {"k"}  # the caller's own column stays
+    assert got[2].kept_in_ == [1] and passage not in got[2].text and got[2].text.startswith(rows[1][1][:40])
+    assert got[4].kept_in_ == [3] and got[4].text == ""
     assert paragraphs.dedup(empty).count() == 0 and paragraphs.dedup(docs.select("doc_id", "text")).count() == len(DOCS)
 
 
+def test_queries(spark):
+    """The registered queries: a row for each row of their tables, with the columns and types that are agreed on."""
+    want = {
+        "op1_hmm": ("documents", "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"),
+        "op2_warc": ("pages", "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"),
+        "op3_jaccard": ("documents", "doc_id bigint, n_shingles bigint, component_id bigint"),
+        "op4_langid": ("documents", "doc_id bigint, held_out boolean, lang_pred string, score double"),
+        "op5_paragraphs": ("documents", "doc_id bigint, text string, n_words bigint, removed_words bigint, kept_in array<bigint>"),
+        "op9_bpe": ("documents", "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"),
+        "op10_syncmers": ("documents", "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"),
+    }
+    out = {}
+    for name, (source, columns) in want.items():
+        df = queries.queries()[name](spark, SF)
+        kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+        assert {k: kinds.get(k) for k, _ in (x.split(" ", 1) for x in columns.split(", "))} == dict(x.split(" ", 1) for x in columns.split(", ")), name
+        out[name] = df.collect()
+        key = "page_id" if source == "pages" else "doc_id"
+        assert Counter(r[key] for r in out[name]) == Counter(r[key] for r in spark.read.parquet(f"{SF}/{source}.parquet").collect())
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    assert Counter(tuple(r)[:3] for r in out["op3_jaccard"]) == brute_components(rows, 4, 85)
+    for name, n in (("op1_hmm", 7), ("op4_langid", 4)):
+        assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % n == 2) for r in out[name])
+    from tokenizers import Tokenizer
+
+    lib, texts = Tokenizer.from_file(bpe.vocabulary_path()), dict(rows)
+    for r in out["op9_bpe"]:
+        ids = lib.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    c, held = Counter(), [r for r in out["op1_hmm"] if r.held_out]
+    for d, t in rows:
+        if zlib.crc32(str(d).encode()) % 7 != 2:
+            c.update([*t.encode().lower().split(), b"\n"])
+    n, v = sum(c.values()), len(c)
+    for r in out["op1_hmm"]:
+        toks = [*texts[r.doc_id].encode().lower().split(), b"\n"]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(toks), sum(c[w] > 0 for w in toks), n)
+        assert abs(r.base_score - sum(math.log10((c[w] + 1) / (n + v + 1)) for w in toks)) < 1e-6
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_pipeline_edges(spark):
+    """Nulls, repeated rows, an empty table and clashing columns, in every stage."""
+    import corpus_pipeline
+
+    a, b = "alpha beta gamma delta epsilon zeta", "one two three four five six seven"
+    rows = [(1, a, "en"), (1, a, "en"), (None, a, "en"), (None, b, "en"), (None, b, "en"), (None, None, None), (7, "", "en"), (8, a.upper(), "en"), (9, "\u65e5\u672c\u8a9e \u6587", None), (10, "3 \u00bd", "en")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    for c in ("key_", "n_words", "removed_words", "kept_in", "chunk_", "lang_pred", "score", "decoded", "evidence", "n_tokens", "component"):
+        df = df.withColumn(c, F.lit(f"own {c}"))
+    df = df.withColumn("n_chars", F.lit(-1))
+    all_but = lambda *gone: sorted((r for k, r in enumerate(rows) if k not in gone), key=repr)
+    want = {"language_id": all_but(5, 6, 8, 9), "ngram_jaccard": all_but(1, 2, 4, 7), "substring_dedup": all_but(), "decontaminate": all_but(), "bpe": all_but()}
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        got = stage(spark, df, SF)
+        assert got.columns[: len(df.columns)] == df.columns and (k == 4 or got.columns == df.columns)
+        out = got.collect()
+        assert sorted(((r.doc_id, r.text, r.lang) for r in out), key=repr) == want[name], name
+        assert all(r.n_chars == -1 and r.n_words == "own n_words" and r.lang_pred == "own lang_pred" and r.decoded == "own decoded" for r in out)
+        assert stage(spark, df.limit(0), SF).count() == 0
+    unlabelled = corpus_pipeline.language_id(spark, df.withColumn("lang", F.lit(None).cast("string")), SF)
+    assert unlabelled.count() == 7
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
@@ -291,10 +554,6 @@ def test_pipeline(spark):
     assert not any(i in r.text for r in got for i in items)
 
 
-def test_crc():
-    assert zlib.crc32(b"1") % 7 in range(7)
-
-
 def stars(groups=6, copies=40, seed=8):
     """Near copies of bases that are like their base and, for the most part, not like each other; the base isn't first."""
     r, rows = random.Random(seed), []
@@ -340,6 +599,47 @@ def test_paragraphs_anywhere(spark):
     assert all(got[d].kept_in == [d - 1 if d != 502 else 502] for d in want)
 
 
+def test_paragraphs_brute(spark):
+    """Near copies of paragraphs: every component of exact Jaccard over all pairs, but for what the bands miss."""
+    r, rows = random.Random(12), []
+    for g in range(70):
+        base = [f"p{g}w{r.randrange(10**6)}" for _ in range(r.choice([20, 25, 60, 120]))]
+        for _ in range(r.choice([1, 2, 5])):
+            rows.append((len(rows), " ".join(w if r.random() > 0.02 else f"e{r.randrange(10**6)}" for w in base)))
+    brute = {d: c for d, _, c in brute_components(rows, 5, 80)}
+    out = {x.doc_id: x for x in paragraphs.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    gone = {d for d, c in brute.items() if c != d}
+    found = {d for d, x in out.items() if x.text == ""}
+    assert found <= gone and len(found) >= 0.95 * len(gone) > 40
+    assert all(out[d].kept_in == [brute[d]] for d in found)
+
+
+def test_paragraphs_rows(spark):
+    line = text(40)
+    rows = [(3, f"{line}\nown words here", "k")] * 4 + [(5, line, "a"), (5, line, "b"), (None, "x\n" + line, "n"), (5, text(30), "c"), (9, None, "z"), (9, None, "z")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, chunk_ string")
+    out = paragraphs.dedup(df)
+    got = Counter((x.doc_id, x.text == dict(zip([r[2] for r in rows], [r[1] for r in rows]))[x.chunk_], x.removed_words, x.chunk_) for x in out.collect())
+    assert got == Counter({(3, False, 40, "k"): 4, (5, False, 40, "a"): 1, (5, False, 40, "b"): 1, (None, True, 0, "n"): 1, (5, True, 0, "c"): 1, (9, True, 0, "z"): 2})
+
+
+def test_blocks(spark):
+    df = spark.createDataFrame([(t, k, n) for t, n in ((1, 5), (2, 700), (3, 2000)) for k in range(n)], "token int, key bigint, m bigint")
+    b = jaccard.blocked(df, "m")
+    pairs = b.alias("x").join(b.alias("y"), F.expr(f"x.token = y.token and x.key < y.key and {jaccard.MEET}")).select("x.token", F.col("x.key").alias("a"), F.col("y.key").alias("b"))
+    got = {r.token: (r.n, r.d) for r in pairs.groupBy("token").agg(F.count("*").alias("n"), F.countDistinct("a", "b").alias("d")).collect()}
+    assert got == {1: (10, 10), 2: (244_650,) * 2, 3: (1_999_000,) * 2}
+    assert b.groupBy("token", "lo_", "hi_").count().agg(F.max("count")).first()[0] < 3 * jaccard.BLOCK
+
+
+def test_jaccard_giant(spark):
+    r = random.Random(2)
+    giant = [f"g{r.randrange(10**7)}" for _ in range(60_000)]
+    rows = [(1, " ".join(giant)), (2, " ".join(giant[:59_000])), (3, " ".join(giant[:20_000])), (4, " ".join(giant[:20_050]))]
+    got = jaccard.linked(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {(x.doc_id, x.component_id, x.n_links) for x in got} == {(1, 1, 1), (2, 1, 1), (3, 3, 1), (4, 3, 1)}
+
+
 def test_jaccard_links(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 7)
     rows = [(d, t) for d, t in stars(2, 25, 9)] + DOCS
