@@ -611,7 +611,7 @@ def test_paragraphs_brute(spark):
     gone = {d for d, c in brute.items() if c != d}
     found = {d for d, x in out.items() if x.text == ""}
     assert found <= gone and len(found) >= 0.95 * len(gone) > 40
-    assert all(out[d].kept_in == [brute[d]] for d in found)
+    assert all({brute[k] for k in out[d].kept_in} == {brute[d]} for d in found)  # a run may be an earlier near copy's
 
 
 def test_paragraphs_rows(spark):
