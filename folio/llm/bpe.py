@@ -14,7 +14,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import fresh, slices, table
+from .common import fresh, slices, table, tidied
 
 #: Longer words are merged with a heap instead of repeated scans.
 SHORT = 160
@@ -309,7 +309,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, ids: bo
         finally:
             tok.forget()
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 import weakref
 from collections.abc import Iterator
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Most bytes of text that one vectorised step works on (a longer text is a step of its own).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
 _INV = _U(pow(int(_BASE), -1, 1 << 64))
@@ -64,6 +65,23 @@ def removed(df: DataFrame) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def tidied(run):
+    """A task's generator that, when it ends, gives the memory that its worker no longer needs back to the system: workers
+    go on to other tasks, and what one stage took would otherwise stay theirs."""
+
+    def tidy(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return tidy
+
+
 def sampled(df: DataFrame, rows: int, *key: str) -> DataFrame:
     """About `rows` rows of df (all, if it has fewer), those with the least hashes of `key`: a filter, so that no task gets
     more than its share however many partitions there are. Rows alike in `key` are in or out together."""

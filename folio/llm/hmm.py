@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, fresh, sampled, slices, table, written
+from .common import crc_mod, fresh, sampled, slices, table, tidied, written
 
 #: States, words with an emission of their own, most words whose counts every worker holds, and rounds over the whole corpus.
 STATES, SYMBOLS, HEAD, ROUNDS = 8, 16_384, 131_072, 2
@@ -47,7 +47,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     def out(c: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(c.keys()), pa.binary()), pa.array(list(c.values()), pa.int64())], names=["word", "n"])
 
-    return docs.select(text).mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(text).mapInArrow(tidied(run), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -246,8 +246,8 @@ def _round(train: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.n
 
     schema = "part int, sums binary"
     spread = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = train.select("text").mapInArrow(run, schema)
-    got = {r.part: np.frombuffer(bytes(r.sums)) for r in sent.repartition(spread, "part").mapInArrow(add, schema).toLocalIterator()}
+    sent = train.select("text").mapInArrow(tidied(run), schema)
+    got = {r.part: np.frombuffer(bytes(r.sums)) for r in sent.repartition(spread, "part").mapInArrow(tidied(add), schema).toLocalIterator()}
     held.unpersist()
     if not got:
         return np.zeros(k), np.zeros((k, k)), np.zeros((rows, k))
@@ -289,7 +289,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text")
                 )
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text), f"`{tokens_}` bigint, `{known}` bigint, `{n_rare}` bigint, `{head_sum}` double, `{rare_sum}` double, `{path}` double, `{tail}` array<struct<word: binary, n: bigint>>"])
-    part = written(docs.mapInArrow(run, schema).withColumn(row, F.monotonically_increasing_id()))
+    part = written(docs.mapInArrow(tidied(run), schema).withColumn(row, F.monotonically_increasing_id()))
     far = part.select(F.col(row).alias(r_), F.inline(tail)).withColumnRenamed("n", "times")
     far = far.join(counts, "word").groupBy(r_).agg(F.sum("times").alias(seen_), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias(logs_))
     ends = counts.where(F.col("word") == F.lit(bytearray(END))).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, fresh, mix, sets, shingles, slices, table, written
+from .common import Words, fresh, mix, sets, shingles, slices, table, tidied, written
 from .graph import components
 
 #: Global token orders: all sort by a token's document frequency first (rare ones first), each breaks ties by a hash of its own.
@@ -86,7 +86,7 @@ def distinct_texts(docs: DataFrame, text: str, k: int, key: str = "key") -> Data
                 n = np.diff(begin)
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n, pa.int64()), pa.array(set_keys(h, begin).view(np.int64), mask=n == 0)], names=[*kept, "n_shingles", key])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -140,7 +140,7 @@ def candidates(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
             yield b.filter(pa.array(keep, pa.bool_()))
 
     d = docs.select(F.pmod(F.xxhash64(text, F.lit(17)), F.lit(chunks)).cast("int").alias("chunk"), F.xxhash64(text).alias("x"), F.col(text).alias("text")).where("text is not null")
-    d = d.mapInArrow(once, "chunk int, x bigint, text string").select("chunk", "text")
+    d = d.mapInArrow(tidied(once), "chunk int, x bigint, text string").select("chunk", "text")
 
     def send(key, t):
         _, _, _, every, _, count, cuts = _chunk_tokens(_column(t, "text"), k, bits)
@@ -234,7 +234,7 @@ def _verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
                 ok.append(100 * inter >= percent * (len(x) + len(y) - inter))
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return both.select("a", "b", "members_a", "members_b").mapInArrow(run, "a bigint, b bigint")
+    return both.select("a", "b", "members_a", "members_b").mapInArrow(tidied(run), "a bigint, b bigint")
 
 
 #: SQL: rows of one pair of blocks, and not both of the same block of two.
@@ -281,7 +281,7 @@ def links(found: DataFrame, percent: int) -> DataFrame:
     spread = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # a frequent token's list is cut by size class, so that no task gets it whole
     cut = lists.withColumn("step", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))))
-    chained = cut.repartition(spread, "token", "step").sortWithinPartitions("token", "step", "alone", "n", "key").mapInArrow(chain, "a bigint, b bigint").distinct()
+    chained = cut.repartition(spread, "token", "step").sortWithinPartitions("token", "step", "alone", "n", "key").mapInArrow(tidied(chain), "a bigint, b bigint").distinct()
     first = written(_verify(chained, found, percent))
     label = components(first)
     marked = written(lists.join(label, lists["key"] == label["node"], "left").select("token", "n", "alone", "key", F.coalesce("component", "key").alias("c")))
@@ -383,7 +383,7 @@ def counts(sets_: DataFrame, percent: int) -> DataFrame:
             yield done()
 
     spread = int(sets_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    per = dealt.repartition(spread, "component", "lo", "hi").sortWithinPartitions("component", "lo", "hi").mapInArrow(run, "key bigint, links bigint")
+    per = dealt.repartition(spread, "component", "lo", "hi").sortWithinPartitions("component", "lo", "hi").mapInArrow(tidied(run), "key bigint, links bigint")
     return per.groupBy("key").agg(F.sum("links").alias("links"))
 
 

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, fresh, sampled, slices, table, written
+from .common import crc_mod, fresh, sampled, slices, table, tidied, written
 
 #: The model is fitted on about so many labelled documents; all words and n-grams of these are kept.
 SAMPLE = 6_000
@@ -163,7 +163,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
                             g = per.setdefault((lang, "g"), Counter())
         yield from flush()
 
-    counts = written(rows.mapInArrow(count, "lang string, kind string, size int, key bigint, n bigint").groupBy("lang", "kind", "size", "key").agg(F.sum("n").alias("n")))
+    counts = written(rows.mapInArrow(tidied(count), "lang string, kind string, size int, key bigint, n bigint").groupBy("lang", "kind", "size", "key").agg(F.sum("n").alias("n")))
     got = counts.select("lang", "kind", "size", "key", "n").toArrow()
     langs = sorted(set(got["lang"].to_pylist()))
     lang = np.searchsorted(np.array(langs), np.array(got["lang"].to_pylist())) if langs else np.zeros(0, np.int64)
@@ -198,7 +198,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 got = scorer.predict(b.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.float64())], names=[*b.schema.names, *names])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)
 
 
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
