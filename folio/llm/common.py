@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 #: Most bytes of text that one vectorised step works on (a longer text is a step of its own).
 SLICE_BYTES = 1 << 20
+#: Most bytes of an Arrow batch between Spark and a worker.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
 _INV = _U(pow(int(_BASE), -1, 1 << 64))
@@ -67,7 +70,11 @@ def removed(df: DataFrame) -> None:
 
 def tidied(run):
     """A task's generator that, when it ends, gives the memory that its worker no longer needs back to the system: workers
-    go on to other tasks, and what one stage took would otherwise stay theirs."""
+    go on to other tasks, and what one stage took would otherwise stay theirs. Batches that come to it are of BATCH_BYTES at
+    most, or one row: the session's setting is lowered if it is Spark's own."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.conf.get(_BATCH) in ("67108864b", "64m", "64MB"):
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
 
     def tidy(batches):
         try:

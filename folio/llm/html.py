@@ -12,7 +12,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import fresh, slices, table
+from .common import fresh, slices, table, tidied
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
@@ -499,7 +499,7 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
                 got = [visible_text(x) for x in b.column(html).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(got, pa.string()), pa.array([len(g) for g in got], pa.int64())], names=[*kept, *names])
 
-    return pages.mapInArrow(run, schema)
+    return pages.mapInArrow(tidied(run), schema)
 
 
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, Words, fresh, mix, powers, removed, sets, shingles, slices, table, written
+from .common import SLICE_BYTES, Words, fresh, mix, powers, removed, sets, shingles, slices, table, tidied, written
 from .graph import components
 from .jaccard import CHUNK_BYTES, MEET, WORDS, _column, _near, _pack, _unpack, blocked, parities
 
@@ -152,7 +152,7 @@ def _lines(docs: DataFrame, text: str, bands: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, every.size + 1, bands), pa.int32()), pa.array(every.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([pa.array(p.line_key[keep].view(np.int64)), b.column("doc_id").take(pa.array(doc[keep])), pa.array(no[keep], pa.int64()), lists], names=["key", "doc_id", "line_no", "bands"])
 
-    return docs.select("doc_id", text).mapInArrow(run, "key bigint, doc_id bigint, line_no bigint, bands array<bigint>")
+    return docs.select("doc_id", text).mapInArrow(tidied(run), "key bigint, doc_id bigint, line_no bigint, bands array<bigint>")
 
 
 def _known(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -182,7 +182,7 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
         return pa.table({"segment": t.column("segment").slice(0, 1), "bits": pa.array([zstandard.compress(out.tobytes(), 1)], pa.binary())})
 
     bits = np.zeros((SEGMENTS, width // SEGMENTS), np.uint8)
-    for r in keys.mapInArrow(mark, "segment int, bits binary").groupBy("segment").applyInArrow(merge, "segment int, bits binary").toLocalIterator():
+    for r in keys.mapInArrow(tidied(mark), "segment int, bits binary").groupBy("segment").applyInArrow(merge, "segment int, bits binary").toLocalIterator():
         bits[r.segment] = np.frombuffer(zstandard.decompress(bytes(r.bits)), np.uint8)
     removed(keys)
     return bits.reshape(-1)
@@ -197,7 +197,7 @@ def _repeated_anchors(docs: DataFrame, text: str) -> np.ndarray:
                 every, n = np.unique(Parts(b.column(text)).anchors()[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(every.view(np.int64)), pa.array(n, pa.int64())], names=["key", "n"])
 
-    every = docs.select(text).mapInArrow(run, "key bigint, n bigint")
+    every = docs.select(text).mapInArrow(tidied(run), "key bigint, n bigint")
     return _filter_of(every.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"))
 
 
@@ -239,7 +239,7 @@ def near_paragraphs(docs: DataFrame, text: str = "text", similarity: float = SIM
                 yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
     marks = [f"s{w}" for w in range(WORDS)]
-    found = docs.select(text).mapInArrow(members, ", ".join(["key bigint, members binary, n bigint", *[f"{m} bigint" for m in marks]])).dropDuplicates(["key"])
+    found = docs.select(text).mapInArrow(tidied(members), ", ".join(["key bigint, members binary, n bigint", *[f"{m} bigint" for m in marks]])).dropDuplicates(["key"])
     found = written(found.join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +254,7 @@ def near_paragraphs(docs: DataFrame, text: str = "text", similarity: float = SIM
     def verified(both: DataFrame) -> DataFrame:
         for side in "ab":
             both = both.join(found.select(F.col("key").alias(side), F.col("members").alias(f"members_{side}")), side)
-        return both.select("a", "b", "members_a", "members_b").mapInArrow(verify, "a bigint, b bigint")
+        return both.select("a", "b", "members_a", "members_b").mapInArrow(tidied(verify), "a bigint, b bigint")
 
     linked = written(verified(pairs))
     label = components(linked)
@@ -488,19 +488,22 @@ def dedup(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, r
         return pa.table(got | dict(zip(names, (pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept_in, pa.list_(pa.int64()))))))
 
     answers = dealt.applyInArrow(send, "chunk_ int, bucket int, packed binary, owner binary, more binary").groupBy("bucket").applyInArrow(tally, "chunk_ int, bucket int, answer binary")
-    where = docs.select(chunk.alias("chunk_"), "doc_id", text).mapInArrow(_line_keys(text), "chunk_ int, key bigint").distinct()
+    wanted = docs.sparkSession.sparkContext.broadcast(_filter_of(near.select("key")))
+    where = docs.select(chunk.alias("chunk_"), text).mapInArrow(tidied(_line_keys(text, wanted)), "chunk_ int, key bigint").distinct()
     told = where.join(near, "key").select("chunk_", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("answer"), "key", "keeper_doc", "keeper_line")
     answers = answers.select("chunk_", "bucket", "answer", F.lit(None).cast("bigint").alias("key"), F.lit(None).cast("bigint").alias("keeper_doc"), F.lit(None).cast("bigint").alias("keeper_line")).unionByName(told)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{names[0]}` bigint, `{names[1]}` bigint, `{names[2]}` array<bigint>"])
     return dealt.cogroup(answers.groupBy("chunk_")).applyInArrow(cut, schema)
 
 
-def _line_keys(text: str):
+def _line_keys(text: str, wanted):
+    """(chunk_, key) of the paragraphs whose key the filter knows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, text):
                 p = Parts(b.column(text))
-                keep = np.flatnonzero(np.diff(p.line) >= PARAGRAPH_WORDS)
+                keep = np.flatnonzero((np.diff(p.line) >= PARAGRAPH_WORDS) & _known(wanted.value, p.line_key))
                 yield pa.RecordBatch.from_arrays([b.column("chunk_").take(pa.array(p.doc_of(p.line)[keep])), pa.array(p.line_key[keep].view(np.int64))], names=["chunk_", "key"])
 
     return run

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, powers, slices, table
+from .common import mix, powers, slices, table, tidied
 
 _U = np.uint64
 #: Code points of an anchor and of its inner substrings.
@@ -107,7 +107,7 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
                 got = sketches(*_utf32(texts))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array([as_text(g) for g in got], pa.string())], names=["doc_id", "n_chars", "fingerprint"])
 
-    return docs.select("doc_id", text).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_chars bigint, fingerprint string")
+    return docs.select("doc_id", text).mapInArrow(tidied(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_chars bigint, fingerprint string")
 
 
 def edited(text: str, following: str) -> str:
@@ -205,7 +205,7 @@ def with_edits(docs: DataFrame, text: str = "text") -> DataFrame:
             yield flush()
 
     schema = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return next_documents(docs, text).mapInArrow(run, schema)
+    return next_documents(docs, text).mapInArrow(tidied(run), schema)
 
 
 def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:

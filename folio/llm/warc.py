@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import sampled, shared_dir, table, written
+from .common import sampled, shared_dir, table, tidied, written
 
 #: Magic number of the leading skippable frame that holds the dictionary.
 DICT_FRAME = 0x184D2A5D
@@ -184,7 +184,7 @@ def write(pages: DataFrame, folder: str, records: int = DICT_RECORDS) -> DataFra
         if done:
             yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done]), pa.array([d[1] for d in done], pa.int64()), pa.array([d[2] for d in done], pa.int64())], names=["path", "records", "bytes"])
 
-    return written(plan(pages).mapInArrow(run, "path string, records bigint, bytes bigint"))
+    return written(plan(pages).mapInArrow(tidied(run), "path string, records bigint, bytes bigint"))
 
 
 def read(archives: DataFrame) -> DataFrame:
@@ -216,7 +216,7 @@ def read(archives: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "html"])
 
     spread = max(1, int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return archives.select("path").repartition(spread, "path").mapInArrow(run, "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, html string")
+    return archives.select("path").repartition(spread, "path").mapInArrow(tidied(run), "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, html string")
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
