@@ -16,9 +16,9 @@ MASKS = {0: 3, 1: 5}
 SHORT = 8
 #: Tokens looked at before and after a seed's first one, the longest window compared, and the share that must agree.
 REACH, WINDOW, SHARE = 24, 20, 0.8
-#: Bits of the filter for each test seed, and the least and greatest binary logarithm of its size: 32 MB at most. Fuller, it
-#: lets more positions through to the join, and loses none.
-BITS_A_SEED, LEAST_BITS, MOST_BITS = 16, 18, 28
+#: Bits of the filter for each test seed, and the least and greatest binary logarithm of its size: 32 MB at most. A seed sets
+#: two bits, so that one other position in 16,000 passes by chance. Fuller, it lets more through to the join, and loses none.
+BITS_A_SEED, LEAST_BITS, MOST_BITS = 256, 18, 28
 
 
 def _tokens(text: str) -> str:
@@ -73,11 +73,17 @@ def test_seeds(benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     return every.selectExpr("seed", "item_id", "size(h_) as item_len", f"{_around('at')} as item_around").distinct()
 
 
+def _places(words: int) -> list[tuple[str, str]]:
+    """SQL of the two places (word, bit) of a seed, from bits of it that don't overlap."""
+    return [(f"cast(shiftrightunsigned(seed, {64 - words}) as int)", "cast(seed & 63 as int)"), (f"cast(shiftrightunsigned(seed, 6) & {(1 << words) - 1} as int)", "cast(shiftrightunsigned(seed, 28) & 63 as int)")]
+
+
 def _bitmap(seeds: DataFrame, count: int) -> tuple[Column, int]:
-    """The seeds' bits as one array, and its length's binary logarithm: word by the seed's first bits, bit by its last six."""
+    """The seeds' bits as one array of 64-bit words, and the binary logarithm of its length."""
     spark = seeds.sparkSession
     words = min(MOST_BITS, max(LEAST_BITS, (count * BITS_A_SEED).bit_length())) - 6
-    masks = seeds.groupBy(F.expr(f"shiftrightunsigned(seed, {64 - words})").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(seed & 63 as int)))").alias("mask"))
+    both = seeds.selectExpr("inline(array(" + ", ".join(f"struct({w} as word, {b} as bit)" for w, b in _places(words)) + "))")
+    masks = both.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask"))
     dense = spark.range(1 << words).join(masks, F.col("id") == F.col("word"), "left").selectExpr("id div 4096 as hi", "id % 4096 as lo", "coalesce(mask, 0L) as mask")
     pages = dense.groupBy("hi").agg(F.expr("transform(array_sort(collect_list(struct(lo, mask))), x -> x.mask) as page"))
     return pages.agg(F.expr("flatten(transform(array_sort(collect_list(struct(hi, page))), x -> x.page)) as bits")).scalar(), words
@@ -113,10 +119,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, window
     for name, start in zip(ends, starts[1:]):
         d = d.withColumn(name, F.expr(start))
     at = "case " + " ".join(f"when i < {e} then i - {b}" for b, e in zip(["0", *ends], ends)) + " end"
-    seed = F.col("seed")
-    known = F.call_function("shiftright", F.get(bits, F.shiftrightunsigned(seed, 64 - words).cast("int")), seed.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    known = [F.call_function("shiftright", F.get(bits, F.expr(w)), F.expr(b)).bitwiseAND(F.lit(1)) == 1 for w, b in _places(words)]
     # outer: else a filter on the arrays would be pushed below them and compute them anew
-    hits = d.selectExpr("doc_id", "text_key", "h_", *ends, "posexplode_outer(c_) as (i, seed)").where(known)
+    hits = d.selectExpr("doc_id", "text_key", "h_", *ends, "posexplode_outer(c_) as (i, seed)").where(known[0] & known[1])
     hits = hits.selectExpr("doc_id", "text_key", "h_", "seed", f"{at} as at").selectExpr("doc_id", "text_key", "seed", f"{_around('at')} as around")
     pairs = hits.join(seeds, "seed").selectExpr("doc_id", "text_key", "item_id", f"least(item_len, {window}) as of", "zip_with(around, item_around, (x, y) -> if(x = y, 1, 0)) as eq")
     best = "array_max(transform(sequence(0, size(eq) - of), s -> aggregate(slice(eq, s + 1, of), 0, (a, x) -> a + x)))"
@@ -125,7 +130,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, window
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the contaminated ones, other columns as they are. Null and empty texts stay."""
-    bad = overlaps(docs, benchmark).select(F.col("doc_id").alias("bad_id_"), F.col("text_key").alias("bad_key_")).distinct()
+    # written, so that Spark knows its size and leaves docs where they are if it is small
+    bad = written(overlaps(docs, benchmark).select(F.col("doc_id").alias("bad_id_"), F.col("text_key").alias("bad_key_")).distinct())
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id_"]) & (F.xxhash64(docs["text"]) == bad["bad_key_"]), "left_anti")
 
 
