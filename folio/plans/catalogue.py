@@ -83,9 +83,9 @@ def txt_export(spark, sf_dir):
     return sinks.plain_text(t(spark, sf_dir, "conversations"), "conv_id", order="turn")
 
 
-@query("""select conv_id, turn, last_value(case when role = 'user' then left(text, 30) end ignore nulls) over (partition by conv_id order by turn rows between unbounded preceding and current row) as subsection from conversations""")
+@query("""select conv_id, turn, last_value(case when role = 'user' then text end ignore nulls) over (partition by conv_id order by turn rows between unbounded preceding and current row) as subsection from conversations""")
 def carry_section(spark, sf_dir):
-    c = t(spark, sf_dir, "conversations").withColumn("header", F.when(F.col("role") == "user", F.substring("text", 1, 30)))
+    c = t(spark, sf_dir, "conversations").withColumn("header", F.when(F.col("role") == "user", F.col("text")))
     return articles.carry_subsection(c, "conv_id", order="turn").select("conv_id", "turn", "subsection")
 
 
@@ -93,10 +93,10 @@ _NAMES = ", ".join(_q(s) for s in text.SUBSECTIONS)
 
 
 @query(f"""select doc_id, n, case when trim(lower(h), '0123456789. ') in ({_NAMES}) then trim(lower(h), '0123456789. ') end as subsection
-from (select doc_id, doc_id % 5 as n, case doc_id % 5 when 0 then '2. Methods' when 1 then 'RESULTS' when 2 then ' 10 Discussion. ' when 3 then left(text, 12) else 'Methods!' end as h from documents)""")
+from (select doc_id, doc_id % 5 as n, case doc_id % 5 when 0 then '2. Methods' when 1 then 'RESULTS' when 2 then ' 10 Discussion. ' when 3 then text else 'Methods!' end as h from documents)""")
 def section_whitelist(spark, sf_dir):
     n = F.col("doc_id") % 5
-    h = F.when(n == 0, "2. Methods").when(n == 1, "RESULTS").when(n == 2, " 10 Discussion. ").when(n == 3, F.substring("text", 1, 12)).otherwise("Methods!")
+    h = F.when(n == 0, "2. Methods").when(n == 1, "RESULTS").when(n == 2, " 10 Discussion. ").when(n == 3, F.col("text")).otherwise("Methods!")
     return t(spark, sf_dir, "documents").select("doc_id", n.alias("n"), text.subsection(h).alias("subsection"))
 
 
@@ -136,11 +136,11 @@ def upsert_two_stores(spark, sf_dir):
     return versions.upsert(side(0, F.max), side(1, F.min))
 
 
-@query("""select pmid, arg_max(body, (r, time)) as body, max(r) as kind_rank from (select doc_id as pmid, left(text, 20) as body, 0 as r, n_chars as time from documents
-union all select page_id, left(url, 20), 1, length(html) from pages) group by pmid""")
+@query("""select pmid, arg_max(body, (r, time)) as body, max(r) as kind_rank from (select doc_id as pmid, text as body, 0 as r, n_chars as time from documents
+union all select page_id, url, 1, length(html) from pages) group by pmid""")
 def latest_view(spark, sf_dir):
-    a = t(spark, sf_dir, "documents").select(F.col("doc_id").alias("pmid"), F.substring("text", 1, 20).alias("body"), F.lit(0).alias("kind_rank"), F.col("n_chars").cast("bigint").alias("time"))
-    f = t(spark, sf_dir, "pages").select(F.col("page_id").alias("pmid"), F.substring("url", 1, 20).alias("body"), F.lit(1).alias("kind_rank"), F.length("html").cast("bigint").alias("time"))
+    a = t(spark, sf_dir, "documents").select(F.col("doc_id").alias("pmid"), F.col("text").alias("body"), F.lit(0).alias("kind_rank"), F.col("n_chars").cast("bigint").alias("time"))
+    f = t(spark, sf_dir, "pages").select(F.col("page_id").alias("pmid"), F.col("url").alias("body"), F.lit(1).alias("kind_rank"), F.length("html").cast("bigint").alias("time"))
     return versions.latest_view(a.unionByName(f)).select("pmid", "body", "kind_rank")
 
 
@@ -267,13 +267,13 @@ def pub_date_pick(spark, sf_dir):
 _STATUS = "case event_type when 'purchase' then 'pubmed' when 'signup' then 'entrez' when 'click' then 'medline' else event_type end"
 
 
-@query(f"""with e as (select user_id, event_id, {_STATUS} as s, cast(strftime(ts, '%Y') as int) as y, month(ts) as m, day(ts) as d from events where event_id % 3 = 0),
+@query(f"""with e as (select user_id, event_id, {_STATUS} as s, cast(strftime(ts, '%Y') as int) as y, month(ts) as m, day(ts) as d from events),
 p as (select user_id, arg_max({{'y': y, 'm': m, 'd': d}}, event_id) filter (s = 'pubmed') as a, arg_max({{'y': y, 'm': m, 'd': d}}, event_id) filter (s = 'entrez') as b, arg_max({{'y': y, 'm': m, 'd': d}}, event_id) filter (s = 'medline') as c, arg_min(s, event_id) as f from e group by 1),
 l as (select e.user_id, arg_max({{'y': y, 'm': m, 'd': d}}, event_id) as z from e join p on p.user_id = e.user_id and e.s = p.f group by 1),
 r as (select p.user_id, coalesce(a, b, c, z) as r from p join l on l.user_id = p.user_id)
 select user_id, cast(r.y as int) as y, cast(r.m as int) as m, cast(r.d as int) as d from r""")
 def status_priority(spark, sf_dir):
-    e = t(spark, sf_dir, "events").where("event_id % 3 = 0")
+    e = t(spark, sf_dir, "events")
     one = F.struct("event_id", F.expr(_STATUS).alias("status"), F.year("ts").alias("y"), F.month("ts").alias("m"), F.day("ts").alias("d"))
     per = e.groupBy("user_id").agg(F.array_sort(F.collect_list(one)).alias("h"))
     return per.select("user_id", dates.by_status(F.col("h")).alias("x")).select("user_id", "x.*")
@@ -312,13 +312,17 @@ def mesh_decode(spark, sf_dir):
     return packed.select("l_orderkey", F.explode(metadata.decode_mesh(F.col("packed"))).alias("h")).select("l_orderkey", "h.ui", "h.name", F.size("h.qualifiers").cast("bigint").alias("qualifiers"), F.array_min("h.qualifiers.name").alias("first_name"))
 
 
-@query("""select p_brand, string_agg(distinct p_type, '|' order by p_type) filter (p_type not in (select min(p_type) from part)) as types from part group by 1""")
+_TYPES = "case p_size % 8 " + " ".join(f"when {k} then {_q(x)}" for k, x in enumerate(text.SKIPPED_TYPES)) + " else p_type end"
+_SKIPPED = ", ".join(map(_q, text.SKIPPED_TYPES))
+
+
+@query(f"""with x as (select p_brand, {_TYPES} as p_type from part) select p_brand, string_agg(distinct p_type, '|' order by p_type) filter (p_type not in ({_SKIPPED})) as types from x group by 1""")
 def pubtype_filter(spark, sf_dir):
-    p = t(spark, sf_dir, "part")
-    least = p.agg(F.min("p_type").alias("least"))
-    per = p.groupBy("p_brand").agg(F.array_sort(F.collect_set("p_type")).alias("ts")).join(F.broadcast(least))
-    out = F.filter("ts", lambda x: x != F.col("least"))
-    return per.select("p_brand", F.when(F.size(out) > 0, F.array_join(text.publication_types(out), "|")).alias("types"))
+    size = F.col("p_size") % 8
+    kind = F.coalesce(*[F.when(size == k, F.lit(x)) for k, x in enumerate(text.SKIPPED_TYPES)], F.col("p_type"))
+    per = t(spark, sf_dir, "part").groupBy("p_brand").agg(F.array_sort(F.collect_set(kind)).alias("ts"))
+    out = text.publication_types(F.col("ts"))
+    return per.select("p_brand", F.when(F.size(out) > 0, F.array_join(out, "|")).alias("types"))
 
 
 @query("""select page_id, list_filter(['10.' || page_id || '/' || url, '10.1/x/', 'x' || url, '10.5/ok'][1 + page_id % 3:], lambda d: regexp_matches(d, '^[0-9\\.]+/.+[^/]$'))[1] as doi from pages""")
@@ -353,21 +357,19 @@ def mention_regex(spark, sf_dir):
 
 
 def _mentions(spark, sf_dir):
-    """Per English document: its third word, and the two words from there, as mentions."""
-    d = t(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", "text", F.regexp_extract_all("text", F.lit("[a-z]{3,}"), F.lit(0)).alias("w")).where("size(w) > 3")
-    return d.select(F.col("doc_id").alias("pmid"), F.lit(0).alias("passage_idx"), F.lit(0).cast("bigint").alias("offset"), "text", F.col("w")[2].alias("one"), F.concat(F.col("w")[2], F.lit(" "), F.col("w")[3]).alias("two"))
-
+    """Per document its third word, and that with the next one, as mentions (null where there is none)."""
+    w = F.regexp_extract_all("text", F.lit(rf"{_W}+"), F.lit(0))
+    d = t(spark, sf_dir, "documents").select("doc_id", "text", w.alias("w"))
+    return d.select(F.col("doc_id").alias("pmid"), F.lit(0).alias("passage_idx"), F.lit(0).cast("bigint").alias("offset"), "text", F.get("w", F.lit(2)).alias("one"), F.concat(F.get("w", F.lit(2)), F.lit(" "), F.get("w", F.lit(3))).alias("two"))
 
-_SQL_ENGLISH = "d as (select doc_id as pmid, text, regexp_extract_all(text, '[a-z]{3,}') as w from documents where lang = 'en' and len(regexp_extract_all(text, '[a-z]{3,}')) > 3)"
 
+#: Words and what lies between them: a word's place is the summed length of both before it.
+_SQL_WORDS = f"""d as (select doc_id as pmid, regexp_extract_all(text, '{_W}+') as w, string_split_regex(text, '{_W}+') as g from documents),
+p as (select pmid, w[3] as one, unnest(w) as word, unnest(range(1, len(w) + 1)) as i, unnest(g[1:len(w)]) as gap from d),
+q as (select *, sum(length(gap)) over (partition by pmid order by i) + coalesce(sum(length(word)) over (partition by pmid order by i rows between unbounded preceding and 1 preceding), 0) as s from p)"""
 
-def _sql_spans(mention: str, rows: str) -> str:
-    """Spans of a mention between ASCII-safe boundaries: the text cut at matches, lengths summed."""
-    cut = f"string_split_regex(text, '\\b' || {mention} || '\\b')"
-    return f"select pmid, cast(s as int) as start, cast(s + length({mention}) as int) as \"end\" from (select pmid, {mention} as mention, {rows} unnest(list_transform(range(1, len(c)), lambda i: list_sum(list_transform(c[1:i], lambda x: length(x))) + (i - 1) * length({mention}))) as s from (select *, {cut} as c from d))"
 
-
-@query(f"with {_SQL_ENGLISH} {_sql_spans('w[3]', 'w,')}")
+@query(f"with {_SQL_WORDS} select pmid, cast(s as int) as start, cast(s + length(word) as int) as \"end\" from q where word = one")
 def align_spans(spark, sf_dir):
     m = _mentions(spark, sf_dir)
     got = m.select("pmid", F.explode(spans.find_spans(F.col("text"), spans.mention_pattern(F.col("one")))).alias("s"))
@@ -379,7 +381,7 @@ def align_nonoverlap(spark, sf_dir):
     m = _mentions(spark, sf_dir)
     table = m.select("pmid", F.lit("W").alias("type"), F.explode(F.array(F.struct(F.lit("c1").alias("c"), F.col("one").alias("m")), F.struct(F.lit("c2").alias("c"), F.col("two").alias("m")))).alias("x"))
     table = table.select("pmid", "type", F.col("x.c").alias("conceptid"), F.col("x.m").alias("mentions"), F.lit("db").alias("database"))
-    return align.align(m.select("pmid", "passage_idx", "text", "offset"), table)
+    return align.align(m.select("pmid", "passage_idx", "text", "offset"), table.where("mentions is not null"))
 
 
 def _as_citations(spark, sf_dir):
@@ -394,7 +396,15 @@ def pubmed_parse(spark, sf_dir):
     return got.select("pmid", "year", "month", "journal", F.array_join("title", " ").alias("title"), F.array_join("abstract", " ").alias("abstract"))
 
 
-@query(None)
+_TWICE = _sql_chain(_sql_chain("trim(line, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))", SQL_CLEANUP), SQL_CLEANUP)
+
+
+@query(f"""with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from documents),
+c as (select doc_id, i + 1 as i, 'article' as section, 'methods' as subsection, {_TWICE} as text from l
+ union all select doc_id, 0, 'title', null, 'T' from documents union all select doc_id, 1, 'article', 'methods', '2. Methods' from documents),
+k as (select * from c where text <> '')
+select cast(doc_id as varchar) as pmid, cast(row_number() over w - 1 as int) as passage_idx, section, subsection, text,
+ cast(coalesce(sum(length(text)) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as bigint) as "offset" from k window w as (partition by doc_id order by i)""")
 def pmc_parse(spark, sf_dir):
     esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     paragraphs = F.array_join(F.transform(F.split(esc(F.col("text")), "\n"), lambda x: F.concat(F.lit("<p>"), x, F.lit("</p>"))), "")
@@ -403,6 +413,14 @@ def pmc_parse(spark, sf_dir):
     return articles.fulltext_passages(got).select("pmid", "passage_idx", "section", "subsection", "text", "offset")
 
 
+@query(f"""select cast(doc_id as varchar) as id, 'Title ' || doc_id || '.' as title, '2001' as year, '3' as month, source as journal, 1 + cast(a <> '' as int) as passages, length('Title ' || doc_id || '.') as at, a as abstract
+from (select doc_id, source, {_sql_chain(_sql_chain('text', SQL_CLEANUP), text.EMPTY_BRACKETS)} as a from documents)""")
+def convert_documents(spark, sf_dir):
+    docs = articles.citation_documents(articles.citations(_as_citations(spark, sf_dir)))
+    last = F.element_at("passages", -1)
+    return docs.select("id", *[F.col("infons")[k].alias(k) for k in ("title", "year", "month", "journal")], F.size("passages").alias("passages"), F.when(F.size("passages") > 1, last["offset"]).otherwise(F.length(F.col("infons")["title"])).alias("at"), F.when(F.size("passages") > 1, last["text"]).otherwise("").alias("abstract"))
+
+
 @query("select p_brand, string_agg(cast(p_partkey as varchar) || chr(9) || cast(p_size as varchar), chr(9) order by p_partkey) as cells from part group by 1")
 def table_cells(spark, sf_dir):
     row = F.concat(F.lit("<tr><td>"), F.col("p_partkey").cast("string"), F.lit("</td><td>"), F.col("p_size").cast("string"), F.lit("</td></tr>"))
@@ -421,23 +439,24 @@ def html_chunks(spark, sf_dir):
     return got.select("page_id", F.explode_outer("passages").alias("p")).select("page_id", "p.text", "p.xml_path")
 
 
-@query("select doc_id, left(text, 30) || '. ' || substr(text, 31) as text, 1 as n from documents where length(text) > 40 and regexp_matches(left(text, 30), '[a-z]$')")
+@query("select doc_id, regexp_replace(left(text, 30), '[ \\n\\r\\f]+$', '') || '. ' || substr(text, 31) as text, 1 as n from documents")
 def citation_strip(spark, sf_dir):
-    d = t(spark, sf_dir, "documents").where("length(text) > 40 and rlike(left(text, 30), '[a-z]$')")
     name = F.lit("ANN_00000000-0000-0000-0000-000000000001")
     marked = F.concat(F.substring("text", 1, 30), F.lit(" ("), name, F.lit("). "), F.expr("substr(text, 31)"))
-    got = d.select("doc_id", arrow.strip_citations(marked, F.create_map(name, F.lit("7"))).alias("x"))
+    got = t(spark, sf_dir, "documents").select("doc_id", arrow.strip_citations(marked, F.create_map(name, F.lit("7"))).alias("x"))
     return got.select("doc_id", "x.text", F.size("x.annotations").alias("n"))
 
 
-@query("select doc_id, replace(text, '&', '&') as text from documents")
+@query("select doc_id, text || ' <b> &amp; é \"' as text from documents")
 def html_unescape(spark, sf_dir):
-    return t(spark, sf_dir, "documents").select("doc_id", arrow.unescape(F.replace("text", F.lit("&"), F.lit("&amp;"))).alias("text"))
+    raw = F.concat(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("e"), F.lit("&#101;")), F.lit(" &lt;b&gt; &amp;amp; &eacute; &quot;"))
+    return t(spark, sf_dir, "documents").select("doc_id", arrow.unescape(raw).alias("text"))
 
 
-@query("select doc_id, text from documents")
+@query("select doc_id, text, '1F8B' as magic from documents")
 def gzip_roundtrip(spark, sf_dir):
-    return t(spark, sf_dir, "documents").select("doc_id", arrow.gunzip_text(arrow.gzip_text(F.col("text"))).alias("text"))
+    packed = arrow.gzip_text(F.col("text"))
+    return t(spark, sf_dir, "documents").select("doc_id", arrow.gunzip_text(packed).alias("text"), F.hex(F.substring(packed, 1, 2)).alias("magic"))
 
 
 @query(ORACLES["version_merge_ordered"])
@@ -447,7 +466,11 @@ def stream_ingest(spark, sf_dir):
 
     from ..streaming.ingest import ingest_versions
 
-    at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="folio-stream-")
+    at = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+        at = tempfile.mkdtemp(prefix="folio-stream-")
     at = f"{at}/stream-{uuid.uuid4().hex}"
     events = t(spark, sf_dir, "events")
     prepare = lambda b: b.select(F.col("user_id").alias("pmid"), F.col("event_id").alias("input_ord"), F.col("event_id").alias("time"), F.col("event_type").alias("hash"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from xml.sax.saxutils import escape
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,27 +19,49 @@ def plain_text(passages: DataFrame, *document: str, order: str = "passage_idx",
     return passages.groupBy(*document).agg(F.array_join(lines, "").alias("text"))
 
 
-@F.pandas_udf(T.StringType())
-def bioc_document(doc_id: pd.Series, infons: pd.Series, passages: pd.Series) -> pd.Series:
-    """A <document> element; passages: array<struct<infons: map, offset, text>>."""
+def bioc_xml(doc_id, infons, passages) -> str:
+    """A <document> element; passages: structs of infons (a map), offset and text, with annotations if they have a field of that
+    name: structs of id, citation_text, offset and length."""
 
     def infon(m):
         return "".join(f"<infon key={_quoted(k)}>{escape('' if v is None else str(v))}</infon>" for k, v in (dict(m) if m is not None else {}).items())
 
-    def one(i, m, ps):
-        body = "".join(f"<passage>{infon(p['infons'])}<offset>{p['offset']}</offset><text>{escape(p['text'] or '')}</text></passage>" for p in (ps if ps is not None else []))
-        return f"<document><id>{escape(str(i))}</id>{infon(m)}{body}</document>"
+    def note(a):
+        return f"<annotation id={_quoted(a['id'])}>{infon({'citation_text': a['citation_text']})}<location offset=\"{a['offset']}\" length=\"{a['length']}\"/><text></text></annotation>"
+
+    def passage(p):
+        notes = p.get("annotations")
+        return f"<passage>{infon(p['infons'])}<offset>{p['offset']}</offset><text>{escape(p['text'] or '')}</text>{''.join(map(note, notes if notes is not None else []))}</passage>"
+
+    body = "".join(map(passage, passages if passages is not None else []))
+    return f"<document><id>{escape('' if doc_id is None else str(doc_id))}</id>{infon(infons)}{body}</document>"
 
-    return pd.Series([one(*x) for x in zip(doc_id, infons, passages)])
+
+@F.pandas_udf(T.StringType())
+def bioc_document(doc_id: pd.Series, infons: pd.Series, passages: pd.Series) -> pd.Series:
+    return pd.Series([bioc_xml(*x) for x in zip(doc_id, infons, passages)])
 
 
 def _quoted(s: str) -> str:
     return '"' + escape(s, {'"': "&quot;"}) + '"'
 
 
-def write_bioc(docs: DataFrame, path: str) -> None:
-    """docs: (xml) elements, a line each, between a collection's tags for every part file's reader to ignore."""
-    docs.select("xml").write.text(path)
+def write_bioc(docs: DataFrame, path: str, source: str = "", date: str = "", key: str = "") -> None:
+    """Writes docs (id, infons, passages) to a folder of files, each a whole collection."""
+    head = f'<?xml version="1.0" encoding="UTF-8"?>\n<!DOCTYPE collection SYSTEM "BioC.dtd">\n<collection><source>{escape(source)}</source><date>{escape(date)}</date><key>{escape(key)}</key>'
+
+    def wrapped(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([head])], names=["value"])
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([bioc_xml(*r) for r in zip(*(c.to_pylist() for c in b.columns))], pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["</collection>"])], names=["value"])
+
+    docs.select("id", "infons", "passages").mapInArrow(wrapped, "value string").write.text(path)
+
+
+def write_text(docs: DataFrame, path: str) -> None:
+    """Writes documents' passages (see articles.citation_documents), each followed by an empty line."""
+    docs.select(F.array_join(F.transform("passages", lambda p: F.concat(p["text"], F.lit("\n"))), "\n").alias("value")).where("value <> ''").write.text(path)
 
 
 def save_store(docs: DataFrame, path: str, kind: str, updated: int, file_index: int = -1) -> None:
@@ -63,12 +86,29 @@ def live(manifest: DataFrame) -> DataFrame:
 
 
 def swap(df: DataFrame, path: str) -> None:
-    """Writes beside `path`, then renames: readers see the old or the new table."""
-    spark = df.sparkSession
+    """Writes beside `path`, then puts the new table in the old one's place by two renames. The old one is deleted last; if the
+    driver is lost between the renames, the next swap, or restored(), brings it back."""
+    restored(df.sparkSession, path)
     df.write.mode("overwrite").parquet(f"{path}.tmp")
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    new, old = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp"), jvm.org.apache.hadoop.fs.Path(path)
-    fs = new.getFileSystem(conf)
-    if fs.exists(old):
+    fs, (new, now, old) = _paths(df.sparkSession, f"{path}.tmp", path, f"{path}.old")
+    if fs.exists(now):
+        fs.rename(now, old)
+    if not fs.rename(new, now):
+        raise OSError(f"can't rename to {path}")
+    fs.delete(old, True)
+
+
+def restored(spark, path: str) -> bool:
+    """Whether a table that an unfinished swap had put aside was put back; one that a finished swap left is deleted."""
+    fs, (now, old) = _paths(spark, path, f"{path}.old")
+    if not fs.exists(old):
+        return False
+    if fs.exists(now):
         fs.delete(old, True)
-    fs.rename(new, old)
+        return False
+    return fs.rename(old, now)
+
+
+def _paths(spark, *paths: str):
+    at = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return at[0].getFileSystem(spark._jsc.hadoopConfiguration()), at

@@ -19,6 +19,9 @@ def ingest_versions(spark: SparkSession, source: str, schema, store: str, checkp
         if number:
             new = spark.read.parquet(f"{store}/batch={number - 1}").select("pmid", "input_ord", "time", "hash").unionByName(new)
         merge_exact(new).write.mode("overwrite").parquet(f"{store}/batch={number}")
+        if number > 1:  # the batch before is kept: this one may run again
+            at = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/batch={number - 2}")
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     q = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

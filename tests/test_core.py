@@ -1,4 +1,8 @@
+import html
+import re
 import tarfile
+import time
+import xml.etree.ElementTree as ET
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +10,7 @@ from pyspark.sql import functions as F
 from folio.functions import dates, metadata, spans, text
 from folio.operators import align, articles, grouping, retrieve, versions, xmltext
 from folio.operators.citations import strip_markers
+from folio.plans import catalogue, convert
 from folio.sources import readers, sinks
 
 BRACKETS = [(" ((())(", " ("), ("( [3] [4] )", "( [3] [4] )"), ("( [] )", ""), ("(Fig. 1)", "(Fig. 1)"), ("( ; )", ""), ("( . )", ""), ("   }{ \t}{   ", "   }{ \t}{   "), ("( [] [ ] )", "")]
@@ -138,13 +143,73 @@ def test_files(spark, tmp_path):
     assert sorted((r.member, r.content) for r in readers.tar_members(spark, path, groups={"x_00": {"src": path, "group": ["b.nxml"]}}).collect()) == [("b.nxml", b"<article>b</article>")]
     assert grouping.only_xml(readers.tar_members(spark, path, listing=True)).count() == 2
     docs = spark.createDataFrame([(1, {"k": "v"}, [({"section": "t"}, 0, "a\t<b>\t")])], "id string, infons map<string,string>, p array<struct<infons:map<string,string>,offset:bigint,text:string>>")
-    sinks.write_bioc(docs.select(sinks.bioc_document("id", "infons", "p").alias("xml")), str(tmp_path / "bioc"))
+    with pytest.raises(ValueError):
+        convert.convert(spark, [str(tmp_path / "a.xml")], "pubmedxml", str(tmp_path / "no"), "pdf")
+    (tmp_path / "full.xml").write_text("<set>" + ARTICLE + ARTICLE.replace(">5<", ">6<") + "</set>")
+    for kind, name, n in (("pubmedxml", "a.xml", 2), ("pmcxml", "full.xml", 4)):
+        convert.convert(spark, [str(tmp_path / name)], kind, str(tmp_path / f"{kind}.bioc"), "biocxml", **({"mark_citations": True} if kind == "pmcxml" else {}))
+        convert.convert(spark, [str(tmp_path / name)], kind, str(tmp_path / f"{kind}.txt"), "txt")
+        ids = []
+        for f in (tmp_path / f"{kind}.bioc").glob("part-*"):
+            root = ET.parse(f).getroot()
+            assert root.tag == "collection"
+            for d in root.iter("document"):
+                ids.append(d.findtext("id"))
+                at = 0
+                for q in d.iter("passage"):
+                    assert int(q.findtext("offset")) == at
+                    assert all(at <= int(x.get("offset")) < at + len(q.findtext("text")) for x in q.iter("location"))
+                    at += len(q.findtext("text"))
+        assert len(ids) == n and readers.biocxml(spark, str(tmp_path / f"{kind}.bioc")).count() == n
+    assert {"5", "6"} <= set(ids) and spark.read.text(str(tmp_path / "pmcxml.txt")).where("value like '%2. Methods%'").count() == 2
+    sinks.write_bioc(docs.withColumnRenamed("p", "passages"), str(tmp_path / "bioc"))
+    assert docs.select(sinks.bioc_document("id", "infons", "p").alias("xml")).first().xml.startswith("<document><id>1</id>")
     back = readers.biocxml(spark, str(tmp_path / "bioc")).first()
     assert (back.id, back.infons, back.passages[0].text) == ("1", {"k": "v"}, "a\t<b>\t")
     (tmp_path / "m.tsv").write_text("1\tG\tc\ta|b\tdb\n")
     assert readers.mention_table(spark, str(tmp_path / "m.tsv")).first().mentions == "a|b"
     sinks.swap(docs.select("id"), str(tmp_path / "t"))
     sinks.swap(docs.select("id"), str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1 and not (tmp_path / "t.old").exists()
+    (tmp_path / "t").rename(tmp_path / "t.old")  # lost between the renames
+    assert sinks.restored(spark, str(tmp_path / "t")) and spark.read.parquet(str(tmp_path / "t")).count() == 1
     sinks.save_store(spark.createDataFrame([(1, "b")], "pmid bigint, body string"), str(tmp_path / "s"), "abstract", 5, 7)
     assert spark.read.parquet(str(tmp_path / "s")).first().hash > 0
+
+
+def test_publication_types(spark):
+    kinds = [*text.SKIPPED_TYPES, "Journal Article"]
+    xml = "<PubmedArticle><MedlineCitation><PMID>1</PMID><Article><PublicationTypeList>" + "".join(f"<PublicationType>{html.escape(k)}</PublicationType>" for k in kinds) + "</PublicationTypeList></Article></MedlineCitation></PubmedArticle>"
+    assert articles.citations(spark.createDataFrame([(xml,)], "xml string")).first().publication_types == ["Journal Article"]
+
+
+def test_offsets_of_many_passages(spark):
+    df = spark.createDataFrame([(1, [("x" * (i % 7),) for i in range(20_000)]), (2, []), (3, [("ab",), (None,), ("c",)])], "pmid int, p array<struct<text:string>>")
+    at = time.time()
+    got = articles.offsets_in_row(df, "pmid").collect()
+    assert time.time() - at < 30
+    total = {}
+    for r in sorted(got, key=lambda r: (r.pmid, r.passage_idx)):
+        assert r.offset == total.get(r.pmid, 0)
+        total[r.pmid] = r.offset + len(r.text or "")
+    assert len(got) == 20_003
+
+
+def test_align_nonoverlap_brute(spark):
+    """The query against a plain walk over each document: longest spans first, those that touch a chosen one left out."""
+    sf = "/root/testdata/sf0.001"
+    want = set()
+    for d in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        w = re.findall(r"\w+", d.text)
+        if len(w) < 3:
+            continue
+        hits = {(m.start(), m.end(), "c1") for m in re.finditer(rf"(?<!\w){w[2]}(?!\w)", d.text)}
+        if len(w) > 3:
+            hits |= {(m.start(), m.end(), "c2") for m in re.finditer(rf"(?<!\w){w[2]}\s+{w[3]}(?!\w)", d.text)}
+        chosen = []
+        for s, e, c in sorted(hits, key=lambda h: (h[0] - h[1], -h[0])):
+            if all(s > y or e < x for x, y, _ in chosen):
+                chosen.append((s, e, c))
+        want |= {(d.doc_id, s, e - s, c, d.text[s:e]) for s, e, c in chosen}
+    got = catalogue.queries()["align_nonoverlap"](spark, sf).collect()
+    assert {(r.pmid, r.offset, r.length, r.conceptid, r.text) for r in got} == want and len(got) == len(want) > 200
