@@ -401,3 +401,15 @@ def _clustered(docs: DataFrame, text: str, k: int, percent: int) -> tuple[DataFr
 
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+#: All pairs that share a shingle, counted; components by a recursive walk.
+OP3_SQL = """
+with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as t from documents),
+s as (select doc_id, case when len(t) = 0 then [] when len(t) < 4 then [array_to_string(t, ' ')] else list_distinct(list_transform(range(1, len(t) - 2), lambda i: array_to_string(t[i:i + 3], ' '))) end as s from w),
+u as (select doc_id, len(s) as n, unnest(s) as x from s),
+p as (select a.doc_id as a, b.doc_id as b from u a join u b on a.x = b.x and a.doc_id < b.doc_id group by 1, 2 having 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+e as (select a, b from p union all select b, a from p),
+r as (select doc_id as d, doc_id as c from documents union select e.b, r.c from r join e on r.d = e.a)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, (select min(c) from r where d = s.doc_id) as component_id, (select count(*) from e where e.a = s.doc_id) as n_links from s
+"""

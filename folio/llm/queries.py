@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": warc.OP2_SQL, "op7_decontam": decontam.OP7_SQL, "op8_chat": chat.OP8_SQL}
+    return {"op2_warc": warc.OP2_SQL, "op3_jaccard": jaccard.OP3_SQL, "op7_decontam": decontam.OP7_SQL, "op8_chat": chat.OP8_SQL}
