@@ -22,7 +22,7 @@ NONE = np.int32(2**31 - 1)
 #: Longest word, in bytes, that is merged together with others.
 TOGETHER = 48
 #: Entries of each of the two generations of a task's caches of words and of runs.
-CACHE = 40_000
+CACHE = 150_000
 TOKENIZER_DIR = "/opt/tokenizers"
 
 
