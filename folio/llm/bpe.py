@@ -14,7 +14,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import fresh, slices, table, tidied
+from .common import SLICE_BYTES, fresh, slices, table, tidied
 
 #: Longer words are merged with a heap instead of repeated scans.
 SHORT = 160
@@ -278,22 +278,26 @@ def tokenizer(path: str) -> WordBPE:
     return _loaded[path]
 
 
-def encode(docs: DataFrame, text: str = "text", path: str | None = None, ids: bool = False) -> DataFrame:
-    """docs plus n_tokens, ids_sha256, decoded_sha256 (and token_ids, decoded with ids=True); a map, without a shuffle.
+def encode(docs: DataFrame, text: str = "text", path: str | None = None, ids: bool = False, texts: bool | None = None, cache: int = CACHE, step: int = SLICE_BYTES) -> DataFrame:
+    """docs plus n_tokens, ids_sha256, decoded_sha256 (token_ids with ids=True, decoded with texts=True; texts is as ids unless
+    given); a map, without a shuffle. A task's memory grows with `cache`, entries of its caches, and `step`, bytes of text that
+    are encoded at once (or one text); results don't depend on them.
 
     Null text counts as empty: 0 tokens, the hash of the empty string. Rows, repeats and other columns are kept as they
     are; if docs already has a column of one of those names, the new one gets underscores at its end. Whole texts are
     encoded; the vocabulary file's path is a parameter and has to exist on every executor."""
     path = path or vocabulary_path()
-    names = fresh(docs, "n_tokens", "ids_sha256", "decoded_sha256", *["token_ids", "decoded"] * ids)
-    kinds = dict(zip(("n", "i", "d", "t", "x"), names))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{kinds['n']}` bigint, `{kinds['i']}` string, `{kinds['d']}` string", *([f"`{kinds['t']}` array<int>, `{kinds['x']}` string"] if ids else [])])
+    texts = ids if texts is None else texts
+    columns = {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"} | ({"token_ids": "array<int>"} if ids else {}) | ({"decoded": "string"} if texts else {})
+    names = fresh(docs, *columns)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), *(f"`{n}` {k}" for n, k in zip(names, columns.values()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(path)
+        tok.most = cache
         try:
             for whole in batches:
-                for b in slices(whole, text):
+                for b in slices(whole, text, step):
                     n, i, d, t, x = [], [], [], [], []
                     for count, id_text, decoded in tok.many(b.column(text).to_pylist()):
                         n.append(count)
@@ -301,10 +305,13 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, ids: bo
                         d.append(hashlib.sha256(decoded.encode()).hexdigest())
                         if ids:
                             t.append(np.array(id_text.split(), np.int32))
+                        if texts:
                             x.append(decoded)
                     new = [pa.array(n, pa.int64()), pa.array(i, pa.string()), pa.array(d, pa.string())]
                     if ids:
-                        new += [pa.array(t, pa.list_(pa.int32())), pa.array(x, pa.string())]
+                        new.append(pa.array(t, pa.list_(pa.int32())))
+                    if texts:
+                        new.append(pa.array(x, pa.string()))
                     yield pa.RecordBatch.from_arrays([*b.columns, *new], names=[*b.schema.names, *names])
         finally:
             tok.forget()
