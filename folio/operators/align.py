@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.spans import choose_spans, concept_list, find_spans, mention_pattern
@@ -40,12 +42,28 @@ def align(passages: DataFrame, mentions: DataFrame) -> DataFrame:
 
 
 def numbered(annotations: DataFrame, *order: str) -> DataFrame:
-    """Adds ann_no, counting over all rows in order: range-partitioned counts and local numbers, never one partition."""
-    from pyspark.sql import Window
-
-    spread = int(annotations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    a = annotations.repartitionByRange(spread, *order).withColumn("p_", F.spark_partition_id())
+    """Adds ann_no, counting over all rows in order from 1: ranges of rows, numbers within each, and the sum of the ranges before,
+    never one partition. The ranges are sampled, so they are fixed by a checkpoint before they are read twice; what goes to the
+    driver is a count for each range."""
+    spark = annotations.sparkSession
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    a = _checkpointed(annotations.repartitionByRange(spread, *order).withColumn("p_", F.spark_partition_id()))
+    counts = {r.p_: r["count"] for r in a.groupBy("p_").count().collect()}
+    before, total = [], 0
+    for p in sorted(counts):
+        before.append((p, total))
+        total += counts[p]
     a = a.withColumn("k_", F.row_number().over(Window.partitionBy("p_").orderBy(*order)))
-    counts = a.groupBy("p_").agg(F.count("*").alias("n_"))
-    base = counts.alias("x").join(counts.alias("y"), F.col("y.p_") < F.col("x.p_"), "left").groupBy("x.p_").agg(F.coalesce(F.sum("y.n_"), F.lit(0)).alias("b_"))
-    return a.join(F.broadcast(base), "p_").withColumn("ann_no", F.col("k_") + F.col("b_")).drop("p_", "k_", "b_")
+    return a.join(F.broadcast(spark.createDataFrame(before, "p_ int, b_ bigint")), "p_").withColumn("ann_no", F.col("k_") + F.col("b_")).drop("p_", "k_", "b_")
+
+
+def _checkpointed(df: DataFrame) -> DataFrame:
+    sc = df.sparkSession.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        at = sc.getConf().get("spark.checkpoint.dir")
+        if not at:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+            at = tempfile.mkdtemp(prefix="folio-checkpoint-")
+        sc.setCheckpointDir(at)
+    return df.checkpoint()

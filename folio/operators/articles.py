@@ -135,16 +135,16 @@ def _meta(node, strict_dates: bool) -> dict:
     return out | dict(zip(("year", "month", "day"), best)) | {"journal": " ".join(c.text for c in xmltext.passages(journal)), "journal_iso": iso[-1] if iso else "", "journals": len(journal)}
 
 
-def parse_fulltext(xml: str, handlers=None, mark_citations: bool = False, all_paths: bool = False, trim: bool = False, strict_dates: bool = False, inherit_journal: bool = False) -> list[dict]:
+def parse_fulltext(xml: str, handlers=None, mark_citations: bool = False, all_paths: bool = False, trim: bool = False, strict_dates: bool = False, inherit_journal: bool = False, passage_tags=xmltext.PASSAGE_TAGS) -> list[dict]:
     """Every article of a file, each with its direct sub-articles. A sub-article without ids of its own has its parent's; without a year, its
-    parent's date; its parent's journal only with inherit_journal."""
+    parent's date; its parent's journal only with inherit_journal. Elements of passage_tags begin passages of their own."""
     out = []
     for article in xmltext.parse(xml).iter("article"):
-        out += _with_parts(article, handlers, mark_citations, all_paths, trim, strict_dates, inherit_journal)
+        out += _with_parts(article, handlers, mark_citations, all_paths, trim, strict_dates, inherit_journal, passage_tags)
     return out
 
 
-def _with_parts(article, handlers, mark_citations: bool, all_paths: bool, trim: bool, strict_dates: bool, inherit_journal: bool) -> list[dict]:
+def _with_parts(article, handlers, mark_citations: bool, all_paths: bool, trim: bool, strict_dates: bool, inherit_journal: bool, passage_tags) -> list[dict]:
     parent, out = _meta(article, strict_dates), []
     for k, node in enumerate([article, *article.findall("./sub-article")]):
         meta = parent if not k else _meta(node, strict_dates)
@@ -165,7 +165,7 @@ def _with_parts(article, handlers, mark_citations: bool, all_paths: bool, trim:
             if section == "title" and len(nodes) > 1:
                 errors.append("more than one title")
             header = None
-            for c in xmltext.passages(nodes, handlers=handlers, citations=None if titled else citations, seed=seed):
+            for c in xmltext.passages(nodes, passage_tags, handlers=handlers, citations=None if titled else citations, seed=seed):
                 text = xmltext.title_without_brackets(c.text) if titled else c.text
                 if not text:
                     continue

@@ -40,7 +40,7 @@ def merge_ordered(versions: DataFrame, key: str = "pmid", order: str = "input_or
 
 def upsert(current: DataFrame, incoming: DataFrame, key: str = "pmid", time: str = "updated", hash_: str = "hash") -> DataFrame:
     """current after one input's rows: rejected ones are dropped, the others replace or are added. Two anti joins and a union."""
-    if [f.name for f in current.schema] != [f.name for f in incoming.schema]:
+    if [(f.name, f.dataType) for f in current.schema] != [(f.name, f.dataType) for f in incoming.schema]:
         raise ValueError("schemas differ")
     i, c = incoming.alias("i"), current.select(key, time, hash_).alias("c")
     taken = i.join(c, (F.col(f"i.{key}") == F.col(f"c.{key}")) & rejected(F.col(f"i.{time}"), F.col(f"i.{hash_}"), F.col(f"c.{time}"), F.col(f"c.{hash_}")), "left_anti")

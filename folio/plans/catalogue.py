@@ -376,6 +376,11 @@ def align_spans(spark, sf_dir):
     return got.select("pmid", "s.start", "s.end")
 
 
+@query(f"with {_SQL_WORDS} select pmid, cast(s as int) as start, cast(s + length(word) as int) as \"end\", row_number() over (order by pmid, s, s + length(word)) as ann_no from q where word = one")
+def align_numbered(spark, sf_dir):
+    return align.numbered(align_spans(spark, sf_dir), "pmid", "start", "end")
+
+
 @query(None)
 def align_nonoverlap(spark, sf_dir):
     m = _mentions(spark, sf_dir)

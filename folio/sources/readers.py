@@ -34,6 +34,19 @@ def biocxml(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("id", as_map(F.col("infon").cast("array<struct<_key:string,_VALUE:string>>")).alias("infons"), F.transform("passage", lambda p: F.struct(as_map(p["infon"]).alias("infons"), p["offset"].alias("offset"), p["text"].alias("text"))).alias("passages"))
 
 
+def bioc_raw(spark: SparkSession, path: str) -> DataFrame:
+    """(file, id, xml) of each document of annotation XML as it is written; no id: ''."""
+    return raw_records(spark, path, "document").select("file", F.xpath_string("xml", F.lit("/document/id")).alias("id"), "xml")
+
+
+def store_tables(spark: SparkSession, path: str) -> DataFrame:
+    """(table, column, type, position) of a store of sinks.save_store, from its folders and file footers."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    kinds = [s.getPath().getName()[5:] for s in at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at) if s.getPath().getName().startswith("kind=")]
+    rows = [(k, f.name, f.dataType.simpleString(), i) for k in sorted(kinds) for i, f in enumerate(spark.read.parquet(f"{path}/kind={k}").schema)]
+    return spark.createDataFrame(rows, "table string, column string, type string, position int")
+
+
 def mention_table(spark: SparkSession, path: str) -> DataFrame:
     """Five TAB-separated fields, no quoting; any other number of fields raises, and so does an empty table."""
     rows = spark.read.text(path).select(F.split("value", "\t", -1).alias("f"))

@@ -85,11 +85,39 @@ def live(manifest: DataFrame) -> DataFrame:
     return manifest.where("not consumed and size > 0")
 
 
-def swap(df: DataFrame, path: str) -> None:
+def write_lines(rows: DataFrame, path: str, head: str = "", between: str = "\n", tail: str = "") -> None:
+    """Writes the one column of rows, in their order, to one file. The driver streams them, a partition at a time; for files that
+    have to be one: indexes, groupings and collections of requested ids."""
+    fs, (part, at) = _paths(rows.sparkSession, f"{path}.part", path)
+    out, held = fs.create(part, True), [head]
+    for k, r in enumerate(rows.toLocalIterator()):
+        held += [between, r[0]] if k else [r[0]]
+        if len(held) > 4096:
+            out.write("".join(held).encode())
+            held = []
+    out.write("".join([*held, tail]).encode())
+    out.close()
+    fs.delete(at, False)
+    if not fs.rename(part, at):
+        raise OSError(f"can't rename to {path}")
+
+
+def write_groupings(groups: DataFrame, path: str) -> None:
+    """Writes (group_name, src, group) as a JSON object by group_name, sorted."""
+    quoted = F.to_json(F.array("group_name")).substr(F.lit(2), F.length(F.to_json(F.array("group_name"))) - 2)
+    write_lines(groups.orderBy("group_name").select(F.concat(quoted, F.lit(": "), F.to_json(F.struct("group", "src")))), path, "{", ",\n", "}")
+
+
+def write_index(ids: DataFrame, path: str) -> None:
+    """Writes ids of grouping.id_index, one a line, in string order."""
+    write_lines(ids.orderBy(ids.columns[0]), path, tail="\n" if not ids.isEmpty() else "")
+
+
+def swap(df: DataFrame, path: str, *partition_by: str) -> None:
     """Writes beside `path`, then puts the new table in the old one's place by two renames. The old one is deleted last; if the
     driver is lost between the renames, the next swap, or restored(), brings it back."""
     restored(df.sparkSession, path)
-    df.write.mode("overwrite").parquet(f"{path}.tmp")
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}.tmp")
     fs, (new, now, old) = _paths(df.sparkSession, f"{path}.tmp", path, f"{path}.old")
     if fs.exists(now):
         fs.rename(now, old)
