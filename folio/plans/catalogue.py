@@ -435,11 +435,18 @@ def table_cells(spark, sf_dir):
     return got.select("p_brand", F.col("passages")[0]["text"].alias("cells"))
 
 
-@query(None)
+_BARE = "regexp_replace(x, '<[^>]*>|&[0-9A-Za-z_]+;|&', '', 'g')"
+_LINKS = "list_aggregate(regexp_extract_all(replace(replace(replace(x, '&amp;', chr(1)), '&', ''), chr(1), '&'), '<a[^>]*>([^<]*)</a>', 1), 'string_agg', ' ')"
+
+
+@query(f"""with h as (select page_id, unnest(regexp_extract_all(html, '(?s)<h1>(.*?)</h1>', 1)) as x from pages), u as (select page_id, unnest(regexp_extract_all(html, '(?s)<ul>.*?</ul>')) as x from pages),
+c as (select page_id, {_sql_chain(_sql_chain(_BARE, SQL_CLEANUP), SQL_CLEANUP)} as text, 'body/title' as xml_path from h union all select page_id, {_sql_chain(_sql_chain(_LINKS, SQL_CLEANUP), SQL_CLEANUP)}, 'body/p' from u)
+select page_id, text, xml_path from pages left join (select * from c where text <> '') using (page_id)""")
 def html_chunks(spark, sf_dir):
-    body = F.regexp_replace(F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1), r"<[^>]*>|&\w+;|&", "")
-    nav = F.regexp_extract("html", r"(?s)(<ul>.*?</ul>)", 1)
-    xml = F.concat(F.lit("<article><body><title>"), body, F.lit("</title>"), F.regexp_replace(nav, "&(?!amp;)", ""), F.lit("</body></article>"))
+    """All headings and lists of the pages, as articles."""
+    heads = F.transform(F.regexp_extract_all("html", F.lit(r"(?s)<h1>(.*?)</h1>"), F.lit(1)), lambda x: F.concat(F.lit("<title>"), F.regexp_replace(x, r"<[^>]*>|&\w+;|&", ""), F.lit("</title>")))
+    lists = F.transform(F.regexp_extract_all("html", F.lit(r"(?s)<ul>.*?</ul>"), F.lit(0)), lambda x: F.concat(F.lit("<p>"), F.regexp_replace(x, "&(?!amp;)", ""), F.lit("</p>")))
+    xml = F.concat(F.lit("<article><body>"), F.array_join(F.concat(heads, lists), ""), F.lit("</body></article>"))
     got = articles.fulltexts(t(spark, sf_dir, "pages").select("page_id", xml.alias("xml")), kept=["page_id"], all_paths=True)
     return got.select("page_id", F.explode_outer("passages").alias("p")).select("page_id", "p.text", "p.xml_path")
 
