@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontam, fim, hmm, html, jaccard, langid, paragraphs, syncmers, warc
+from . import bpe, chat, decontam, fim, hmm, html, jaccard, langid, merkle, paragraphs, syncmers, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,8 +22,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_bpe": bpe.op9_bpe,
         "op10_syncmers": syncmers.op10_syncmers,
         "op11_fim": fim.op11_fim,
+        "op12_merkle": merkle.op12_merkle,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": warc.OP2_SQL, "op3_jaccard": jaccard.OP3_SQL, "op7_decontam": decontam.OP7_SQL, "op8_chat": chat.OP8_SQL, "op11_fim": fim.OP11_SQL}
+    return {"op2_warc": warc.OP2_SQL, "op3_jaccard": jaccard.OP3_SQL, "op7_decontam": decontam.OP7_SQL, "op8_chat": chat.OP8_SQL, "op11_fim": fim.OP11_SQL, "op12_merkle": merkle.OP12_SQL}
