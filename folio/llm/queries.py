@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontam, fim, hmm, html, jaccard, langid, merkle, paragraphs, syncmers, warc
+from . import bpe, chat, decontam, fim, hmm, html, jaccard, langid, merkle, paragraphs, syncmers, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_syncmers": syncmers.op10_syncmers,
         "op11_fim": fim.op11_fim,
         "op12_merkle": merkle.op12_merkle,
+        "op13_toxicity": toxicity.op13_toxicity,
     }
 
 
