@@ -45,6 +45,8 @@ TABLE_PARTS = frozenset(("table", "tbody", "thead", "tfoot", "tr"))
 UNDRAWN = frozenset("title desc defs symbol clippath mask pattern marker metadata annotation annotation-xml".split())
 #: Tables nested deeper are laid out as blocks, all their text included; most columns and rows that a cell may take (fixed values).
 TABLE_DEPTH, MOST_COLUMNS, MOST_ROWS = 20, 1000, 65534
+#: Lists and quotes nested deeper are not indented further.
+INDENTED = 20
 #: A table is not padded to columns where that would take over so many characters and so many times those of its cells.
 PADDED, PADDED_TIMES = 100_000, 8
 _open = re.compile(r"<(?:(!--)|([!?])|/([a-zA-Z][^\s/>]*)|([a-zA-Z][^\s/>]*))")
@@ -254,7 +256,7 @@ class _Out:
         self.line: list[str] = []
         self.blank = False  # an empty line is due before the next text
         self.space = False  # a space is due before the next text of this line
-        self.prefix: list[str] = []  # indentation of open lists and quotes
+        self.prefix: list[str] = []  # of each open list item and quote the whole indentation
         self.marker = ""
 
     def text(self, s: str, pre: bool) -> None:
@@ -279,13 +281,18 @@ class _Out:
             if self.blank and self.lines:
                 self.lines.append("")
             self.blank = self.space = False
-            self.line.append("".join(self.prefix)[: len("".join(self.prefix)) - len(self.marker)] + self.marker if self.marker else "".join(self.prefix))
+            prefix = self.prefix[-1] if self.prefix else ""
+            self.line.append(prefix[: max(0, len(prefix) - len(self.marker))] + self.marker)
             self.marker = ""
         elif self.space:
             self.line.append(" ")
         self.space = False
         self.line.append(s)
 
+    def indent(self, by: int) -> None:
+        last = self.prefix[-1] if self.prefix else ""
+        self.prefix.append(last + " " * by if len(self.prefix) < INDENTED else last)
+
     def block(self, keep: bool = False) -> None:
         if self.line:
             self.lines.append("".join(self.line).rstrip(" "))
@@ -306,7 +313,7 @@ class _Out:
 
 def render(node: Node, depth: int = 0, state: tuple[bool, bool, str] = (False, False, "")) -> str:
     """The visible text of a tree. Blocks stand on lines of their own, spaced ones with an empty line around; list items
-    are marked with "- " or their number and indented by level; table cells are padded to columns, joined by two spaces.
+    are marked with "- " or their number and indented by level, up to INDENTED levels; table cells are padded to columns, joined by two spaces.
     Of svg the texts show, of math all but annotations. state: white space is kept, text is invisible, within svg or math."""
     out = _Out()
     # (what, node, state, more): an explicit stack, so that depth is not bounded by recursion
@@ -361,10 +368,10 @@ def render(node: Node, depth: int = 0, state: tuple[bool, bool, str] = (False, F
                 mark = len(out.prefix) if tag in ("li", "blockquote", "dd") else None
                 if tag == "li":
                     sign = f"{more}. " if more is not None else "- "
-                    out.prefix.append(" " * len(sign))
+                    out.indent(len(sign))
                     out.marker = "" if dark else sign
                 elif tag in ("blockquote", "dd"):
-                    out.prefix.append("  ")
+                    out.indent(2)
                 todo.append(("out", tag, state, mark))
             children = x.children
             if tag == "details" and "open" not in x.attrs:
