@@ -16,7 +16,8 @@ from .jaccard import CHUNK_BYTES, MEET, WORDS, _column, _near, _pack, _unpack, b
 
 #: Words of a shingle, the similarity of a link, the recall that bands are tuned for at it, and rows of a band.
 K, SIMILARITY, RECALL, ROWS = 5, 0.8, 0.995, 3
-#: A paragraph (line) of fewer words is compared as part of a run of sentences only.
+#: Every paragraph (line) of K words is compared. One of fewer than so many is cut only within a longer run of repeated words, or
+#: with a text that repeats whole: lines such as a licence's name stay.
 PARAGRAPH_WORDS = 20
 #: A sentence of fewer words belongs to the next one.
 SENTENCE_WORDS = 5
@@ -123,7 +124,7 @@ class Parts:
 
 
 def _lines(docs: DataFrame, text: str, bands: int) -> DataFrame:
-    """(key, doc_id, line_no, bands) of every paragraph of PARAGRAPH_WORDS words or more."""
+    """(key, doc_id, line_no, bands) of every paragraph of K words or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -131,7 +132,7 @@ def _lines(docs: DataFrame, text: str, bands: int) -> DataFrame:
                 p = Parts(b.column(text))
                 doc = p.doc_of(p.line)
                 no = np.arange(len(doc)) - np.searchsorted(doc, doc)
-                keep = np.flatnonzero(np.diff(p.line) >= PARAGRAPH_WORDS)
+                keep = np.flatnonzero(np.diff(p.line) >= K)
                 h, row = p.line_sets()
                 order = np.argsort(row, kind="stable")
                 h, row = h[order], row[order]
@@ -152,7 +153,7 @@ def _lines(docs: DataFrame, text: str, bands: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, every.size + 1, bands), pa.int32()), pa.array(every.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([pa.array(p.line_key[keep].view(np.int64)), b.column("doc_id").take(pa.array(doc[keep])), pa.array(no[keep], pa.int64()), lists], names=["key", "doc_id", "line_no", "bands"])
 
-    return docs.select("doc_id", text).mapInArrow(tidied(run), "key bigint, doc_id bigint, line_no bigint, bands array<bigint>")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text).mapInArrow(tidied(run), "key bigint, doc_id bigint, line_no bigint, bands array<bigint>")
 
 
 def _known(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -225,7 +226,7 @@ def near_paragraphs(docs: DataFrame, text: str = "text", similarity: float = SIM
         for whole in batches:
             for b in slices(whole, text):
                 p = Parts(b.column(text))
-                keep = np.flatnonzero((np.diff(p.line) >= PARAGRAPH_WORDS) & _known(bits, p.line_key))
+                keep = np.flatnonzero((np.diff(p.line) >= K) & _known(bits, p.line_key))
                 if not len(keep):
                     continue
                 _, one = np.unique(p.line_key[keep], return_index=True)
@@ -277,13 +278,13 @@ def near_paragraphs(docs: DataFrame, text: str = "text", similarity: float = SIM
 def dedup(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, run_words: int = RUN_WORDS) -> DataFrame:
     """docs with repeated passages cut out of text, plus n_words, removed_words, kept_in (see below).
 
-    Two things repeat: a paragraph (a line of 20 words or more) whose 5-word shingles are 80 % like an earlier one's, found
+    Two things repeat: a paragraph (a line of 5 words or more) whose 5-word shingles are 80 % like an earlier one's, found
     by MinHash bands, verified exactly and clustered by components; and a sentence, or a run of WINDOW words wherever it
-    begins, equal to an earlier one. Earlier is by doc_id, then by place; the first occurrence stays. Such a paragraph is cut
-    whatever its length; where other repeated words in a row come to `run_words` or more they are cut, with the space after
+    begins, equal to an earlier one. Earlier is by doc_id, then by place; the first occurrence stays. Such a paragraph of
+    PARAGRAPH_WORDS or more is cut, and so is a text of 5 words or more all of which repeat; where other repeated words in a row come to `run_words` or more they are cut, with the space after
     them; anything shorter is left as it is, so a document without such a run keeps its text to the byte. n_words and removed_words are counts; kept_in lists (ascending, distinct) the
     doc_ids that hold the copies which stay. Null and empty texts stay as they are. Of rows that share a doc_id, the first
-    (by text) keeps a passage; rows alike in doc_id and text are one document and get the same result. Null doc_ids come
+    (by text) keeps a passage; rows alike in doc_id and text are one document and get the same result. A doc_id is any integer; null ones come
     before others. A new name that docs already has gets underscores at its end.
 
     Every WINDOW words in a row that repeat hold an anchor (20 words chosen by their hashes) that repeats too: all windows about
@@ -420,7 +421,7 @@ def dedup(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, r
             if len(near_keys):
                 lk = p.line_key.view(np.int64)
                 pos = np.minimum(np.searchsorted(near_keys, lk), len(near_keys) - 1)
-                hit = (near_keys[pos] == lk) & (np.diff(p.line) >= PARAGRAPH_WORDS)
+                hit = (near_keys[pos] == lk) & (np.diff(p.line) >= K)
                 doc = p.doc_of(p.line)
                 no = np.arange(len(doc)) - np.searchsorted(doc, doc)
                 first = hit & (kd[pos] == ids[at + doc]) & (kl[pos] == no)
@@ -430,8 +431,9 @@ def dedup(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, r
                         first[i] = False
                     seen_near.add(name)
                 flag = hit & ~first
-                must = np.repeat(flag, np.diff(p.line))
-                new = must & ~gone
+                size = np.diff(p.line)
+                must = np.repeat(flag & (size >= PARAGRAPH_WORDS), size)
+                new = np.repeat(flag, size) & ~gone
                 gone |= new
                 source = np.where(new, np.repeat(kd[pos], np.diff(p.line)), source)
             # windows: as sentences, but a window that overlaps its first occurrence leaves the words of that alone
@@ -457,6 +459,9 @@ def dedup(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, r
                 new = (np.cumsum(depth)[:n] > 0) & ~gone
                 gone |= new
                 source[new] = keeper[idx][flag][np.maximum.accumulate(latest)[new]]
+            # a text that repeats whole
+            left = np.bincount(p._row()[~gone], minlength=rows)
+            must |= np.repeat((left == 0) & (w.per_doc >= K), w.per_doc)
             # runs within documents: long ones, and of others the paragraphs
             start, end = runs_of(gone, w)
             big = (end - start) >= run_words
@@ -503,7 +508,7 @@ def _line_keys(text: str, wanted):
         for whole in batches:
             for b in slices(whole, text):
                 p = Parts(b.column(text))
-                keep = np.flatnonzero((np.diff(p.line) >= PARAGRAPH_WORDS) & _known(wanted.value, p.line_key))
+                keep = np.flatnonzero((np.diff(p.line) >= K) & _known(wanted.value, p.line_key))
                 yield pa.RecordBatch.from_arrays([b.column("chunk_").take(pa.array(p.doc_of(p.line)[keep])), pa.array(p.line_key[keep].view(np.int64))], names=["chunk_", "key"])
 
     return run

@@ -291,6 +291,16 @@ def test_html_is_linear(page):
     assert time.time() - at < 10
 
 
+@pytest.mark.parametrize("part", ["<ul><li>x", "<ol><li>x", "<blockquote>x", "<dl><dd>x", "<ul><li><blockquote>x"])
+def test_html_nested_is_linear(part):
+    """A page of 1 MB of nested lists or quotes: all its text, in a size that grows with the page."""
+    at, n = time.time(), (1 << 20) // len(part)
+    got = html.visible_text(part * n)
+    assert got.count("x") == n and len(got) < 10_000_000 and time.time() - at < 10
+    few = html.visible_text(part * 12).splitlines()
+    assert len(few[-1]) > len(few[0]) + 20  # up to 20 levels each is indented further
+
+
 class Plain(HTMLParser):
     def __init__(self, page):
         super().__init__()
@@ -614,6 +624,20 @@ def test_paragraphs_brute(spark):
     assert all({brute[k] for k in out[d].kept_in} == {brute[d]} for d in found)  # a run may be an earlier near copy's
 
 
+def test_paragraphs_short(spark):
+    """Paragraphs under 20 words: compared by the bands too, cut with a text that repeats whole or within a longer run."""
+    own = lambda n: " ".join(f"s{R.randrange(10**9)}" for _ in range(n))
+    one, five, four = own(19), own(5), own(4)
+    a = [own(14) for _ in range(3)]
+    near = [x.split()[0] + " " + " ".join(x.split()[1:]) for x in a[:2]] + [" ".join([*a[2].split()[:-1], "other"])]
+    long = own(19)
+    rows = [(1, one), (2, one), (3, five), (4, five), (5, four), (6, four), (7, f"{own(40)}\n{five}\n{own(9)}"), (8, "\n".join(a)), (9, f"{own(20)}\n" + "\n".join(near) + f"\n{own(3)}")]
+    rows += [(10, long), (11, " ".join([*long.split()[:-1], "changed"]))]  # 14 of 16 shingles, near
+    out = {r.doc_id: r for r in paragraphs.dedup(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert {d: r.removed_words for d, r in out.items() if r.removed_words} == {2: 19, 4: 5, 9: 42, 11: 19}
+    assert out[2].kept_in == [1] and out[9].kept_in == [8] and out[11].text == "" and out[7].text == rows[6][1]
+
+
 def test_paragraphs_rows(spark):
     line = text(40)
     rows = [(3, f"{line}\nown words here", "k")] * 4 + [(5, line, "a"), (5, line, "b"), (None, "x\n" + line, "n"), (5, text(30), "c"), (9, None, "z"), (9, None, "z")]
