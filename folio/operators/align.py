@@ -7,33 +7,45 @@ import tempfile
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.spans import choose_spans, concept_list, find_spans, mention_pattern
+from ..functions.spans import chosen_only, concept_list, find_spans, first_word, mention_pattern, words_of
 
 
 def patterns(mentions: DataFrame, passages: DataFrame) -> DataFrame:
-    """(pmid, type, conceptid, pattern) of the mentions of documents at hand; one pattern for each mention, made once."""
+    """(pmid, type, conceptid, pattern, word) of the mentions of documents at hand; one row for each mention, its pattern made once;
+    word: its first word (spans.first_word)."""
     wanted = mentions.where("mentions <> ''").join(passages.select("pmid").distinct(), "pmid", "left_semi")
     each = wanted.select("pmid", "type", "conceptid", F.explode(F.filter(F.transform(F.split("mentions", r"\|"), lambda m: F.trim(m)), lambda m: m != "")).alias("mention"))
-    return each.distinct().withColumn("pattern", mention_pattern(F.col("mention")))
+    return each.distinct().select("pmid", "type", "conceptid", mention_pattern(F.col("mention")).alias("pattern"), first_word(F.col("mention")).alias("word"))
 
 
-def candidates(passages: DataFrame, mentions: DataFrame) -> DataFrame:
-    """(pmid, passage_idx, start, end, type, conceptid) of all matches. Documents with very many mentions are skewed keys that
-    Spark splits in the join."""
-    found = passages.join(patterns(mentions, passages), "pmid")
-    found = found.where(F.expr("rlike(text, pattern)")).withColumn("s", F.explode(find_spans(F.col("text"), F.col("pattern"))))
-    return found.select("pmid", "passage_idx", "s.start", "s.end", "type", "conceptid").distinct()
+def candidates(passages: DataFrame, mentions: DataFrame, *document: str) -> DataFrame:
+    """(pmid, document columns, passage_idx, start, end, type, conceptid) of all matches.
+
+    Passages and mentions meet by a word: each passage gives its distinct words, a mention its first one ('' for a mention without
+    a word, which meets all passages of its pmid). A passage is matched only with the mentions it met, in its own row, so a text
+    isn't copied for each of them. Documents with very many mentions are skewed keys that Spark splits in the joins."""
+    keys = ["pmid", *document, "passage_idx"]
+    words = passages.select(*keys, F.explode(F.array_union(words_of(F.col("text")), F.array(F.lit("")))).alias("word"))
+    met = words.join(patterns(mentions, passages), ["pmid", "word"]).groupBy(*keys).agg(F.collect_set(F.struct("pattern", "type", "conceptid")).alias("ms"))
+    rows = passages.alias("p").join(met.alias("m"), [F.col(f"p.{k}").eqNullSafe(F.col(f"m.{k}")) if k in document else F.col(f"p.{k}") == F.col(f"m.{k}") for k in keys])
+    found = F.flatten(F.transform("ms", lambda m: F.transform(find_spans(F.col("p.text"), m["pattern"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), m["type"].alias("type"), m["conceptid"].alias("conceptid")))))
+    return rows.select(*[f"p.{k}" for k in keys], F.explode(F.array_distinct(found)).alias("s")).select(*keys, "s.start", "s.end", "s.type", "s.conceptid")
+
+
+def chosen(passages: DataFrame, mentions: DataFrame, *document: str) -> DataFrame:
+    """(pmid, document columns, passage_idx, hits) of passages that have some: the longest spans that don't touch, a struct (start, end, type,
+    conceptid) for each span and type, concepts joined; by start, end and type."""
+    keys = ["pmid", *document, "passage_idx"]
+    hits = candidates(passages, mentions, *document)
+    concepts = hits.groupBy(*keys, "start", "end", "type").agg(concept_list(F.col("conceptid")).alias("conceptid"))
+    per = concepts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("start", "end", "type", "conceptid"))).alias("hits"))
+    return per.select(*keys, chosen_only(F.col("hits")).alias("hits"))
 
 
 def align(passages: DataFrame, mentions: DataFrame) -> DataFrame:
     """(pmid, passage_idx, ann_id, type, conceptid, text, offset, length): per passage the longest spans that don't touch, one
     annotation for each span and type with its concepts joined. passages: (pmid, passage_idx, text, offset)."""
-    hits = candidates(passages, mentions)
-    concepts = hits.groupBy("pmid", "passage_idx", "start", "end", "type").agg(concept_list(F.col("conceptid")).alias("conceptid"))
-    per = concepts.groupBy("pmid", "passage_idx").agg(F.collect_list(F.struct("start", "end", "type", "conceptid")).alias("hits"))
-    per = per.withColumn("chosen", choose_spans(F.col("hits")))
-    kept = F.filter("hits", lambda h: F.exists("chosen", lambda c: (c["start"] == h["start"]) & (c["end"] == h["end"])))
-    rows = per.select("pmid", "passage_idx", F.posexplode(F.sort_array(kept)).alias("k", "h"))
+    rows = chosen(passages, mentions).select("pmid", "passage_idx", F.posexplode("hits").alias("k", "h"))
     rows = rows.join(passages.select("pmid", "passage_idx", "text", "offset"), ["pmid", "passage_idx"])
     return rows.select(
         "pmid", "passage_idx", F.concat(F.lit("T"), F.col("passage_idx") + 1, F.lit("."), F.col("k") + 1).alias("ann_id"), F.col("h.type").alias("type"), F.col("h.conceptid").alias("conceptid"),

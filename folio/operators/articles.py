@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions import dates
+from ..functions.arrays import let, sums_before
 from ..functions.text import SKIPPED_TYPES, SUBSECTIONS
 from . import xmltext
 from .citations import strip_markers
@@ -214,15 +215,19 @@ def citations(records: DataFrame, xml: str = "xml", kept: list[str] = (), handle
 
 
 def fulltexts(records: DataFrame, xml: str = "xml", kept: list[str] = (), handlers=None, strict: bool = False, **options) -> DataFrame:
-    """One row for each article and sub-article of each record; options are parse_fulltext's."""
+    """One row for each article and sub-article of each record; options are parse_fulltext's. A record that isn't XML gives a row
+    with its error; strict raises for that and for any other error."""
 
     def parse(x: str) -> list[dict]:
         try:
-            return parse_fulltext(x, handlers, **options)
+            got = parse_fulltext(x, handlers, **options)
         except Exception as e:
             if strict:
                 raise RuntimeError(f"can't parse article: {e}") from e
             return [{"errors": [f"{type(e).__name__}: {e}"]}]
+        if strict and (wrong := [w for a in got for w in a["errors"]]):
+            raise ValueError("; ".join(wrong))
+        return got
 
     return _mapped(records, xml, list(kept), schema.FULLTEXT, parse)
 
@@ -242,25 +247,6 @@ def citation_passages(articles: DataFrame, trim: bool = True) -> DataFrame:
     return offsets_in_row(articles.select("pmid", every.alias("p")), "pmid")
 
 
-def _let(value, f):
-    """f of a value that is computed once, however often f uses it."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
-
-
-def sums_before(numbers, block: int = 128):
-    """For each number of an array the sum of those before it. Sums of blocks come first, so that an element costs a part of a
-    block, not all that lies before it."""
-
-    def part(xs, first, n):
-        return F.aggregate(F.slice(xs, (first + 1).cast("int"), n), F.lit(0).cast("bigint"), lambda a, x: a + x)
-
-    def placed(xs):
-        blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(xs) / block).cast("int")), lambda k: part(xs, k * block, F.lit(block)))
-        return _let(blocks, lambda sums: _let(F.transform(sums, lambda _, k: part(sums, F.lit(0), k)), lambda bases: F.transform(xs, lambda _, i: F.get(bases, F.floor(i / block).cast("int")) + part(xs, i - i % block, i % block))))
-
-    return _let(numbers, placed)
-
-
 def offsets_in_row(rows: DataFrame, *document: str) -> DataFrame:
     """Explodes p: array<struct<..., text>> with passage_idx and offset, computed in the row."""
     offsets = sums_before(F.transform("p", lambda x: F.coalesce(F.length(x["text"]), F.lit(0)).cast("bigint")))
@@ -277,35 +263,36 @@ def _infons(title, more: dict):
     return F.map_from_arrays(F.array(*map(F.lit, every)), F.array(*every.values()))
 
 
-def citation_documents(articles: DataFrame, trim: bool = True) -> DataFrame:
-    """(id, infons, passages) of parsed citations, as sinks.bioc_document takes them; passages have section, offset and text."""
+def citation_documents(articles: DataFrame, trim: bool = True, kept: list[str] = ()) -> DataFrame:
+    """(kept columns, id, infons, passages) of parsed citations, as sinks.bioc_document takes them; passages have section, offset
+    and text."""
     from ..functions.metadata import encode_fields, encode_mesh
     from ..functions.text import trim_sentences
 
     cut = trim_sentences if trim else (lambda x: x)
     more = {"authors": F.array_join("authors", ", "), "chemicals": encode_fields(F.col("chemicals"), "ui", "name"), "meshHeadings": encode_mesh(F.col("mesh")), "supplementaryMesh": encode_fields(F.col("supp_mesh"), "ui", "type", "name"), "publicationTypes": F.array_join("publication_types", "|")}
     every = F.concat(*[F.transform(s, lambda x, s=s: F.struct(F.create_map(F.lit("section"), F.lit(s)).alias("infons"), cut(x).alias("text"))) for s in ("title", "abstract")])
-    return _placed(articles.select(F.col("pmid").cast("string").alias("id"), _infons(F.array_join("title", " "), more).alias("infons"), every.alias("p")))
+    return _placed(articles.select(*kept, F.col("pmid").cast("string").alias("id"), _infons(F.array_join("title", " "), more).alias("infons"), every.alias("p")), kept=kept)
 
 
-def fulltext_documents(articles: DataFrame) -> DataFrame:
-    """(id, infons, passages) of parsed full texts; passages have section, subsection, xml_path where it was kept, offset, text
+def fulltext_documents(articles: DataFrame, kept: list[str] = ()) -> DataFrame:
+    """(kept columns, id, infons, passages) of parsed full texts; passages have section, subsection, xml_path where it was kept, offset, text
     and annotations at offsets in the document."""
     title = F.array_join(F.transform(F.filter("passages", lambda x: x["section"] == "title"), lambda x: x["text"]), " ")
     names = ("section", "subsection", "xml_path")
     infons = lambda x: F.map_from_entries(F.filter(F.array(*[F.struct(F.lit(n).alias("key"), x[n].alias("value")) for n in names]), lambda e: e["value"].isNotNull()))
     every = F.transform("passages", lambda x: F.struct(infons(x).alias("infons"), x["text"].alias("text"), x["annotations"].alias("annotations")))
-    return _placed(articles.select(F.col("pmid").alias("id"), _infons(title, {}).alias("infons"), every.alias("p")), True)
+    return _placed(articles.select(*kept, F.col("pmid").alias("id"), _infons(title, {}).alias("infons"), every.alias("p")), True, kept)
 
 
-def _placed(rows: DataFrame, noted: bool = False) -> DataFrame:
+def _placed(rows: DataFrame, noted: bool = False, kept: list[str] = ()) -> DataFrame:
     offsets = sums_before(F.transform("p", lambda x: F.length(x["text"]).cast("bigint")))
 
     def one(x, at):
         notes = [F.transform(x["annotations"], lambda a: F.struct(a["id"].alias("id"), a["citation_text"].alias("citation_text"), (a["offset"] + at).alias("offset"), a["length"].alias("length"))).alias("annotations")] if noted else []
         return F.struct(x["infons"].alias("infons"), at.alias("offset"), x["text"].alias("text"), *notes)
 
-    return rows.select("id", "infons", _let(offsets, lambda o: F.zip_with("p", o, one)).alias("passages"))
+    return rows.select(*kept, "id", "infons", let(offsets, lambda o: F.zip_with("p", o, one)).alias("passages"))
 
 
 def fulltext_passages(articles: DataFrame) -> DataFrame:

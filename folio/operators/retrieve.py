@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import xml.etree.ElementTree as ET
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MODES = ("abstracts", "fulltext", "all")
 
@@ -36,6 +40,51 @@ def retrieve(ids: DataFrame, abstracts: DataFrame, fulltext: DataFrame, mode: st
     return got.where("r is not null").select("ord", "pmid", "r.*"), got.where("r is null").select("ord", "pmid")
 
 
+@F.arrow_udf(T.StringType())
+def _overridden(fulltext: pa.Array, abstract: pa.Array) -> pa.Array:
+    out = []
+    for full, source in zip(fulltext.to_pylist(), abstract.to_pylist()):
+        if full is None or source is None:
+            out.append(full)
+            continue
+        root = ET.fromstring(full)
+        if not len(root) or root[0].tag != "id":
+            raise ValueError(f"the first part of a document is its id, not {full[:80]!r}")
+        for infon in root.findall("./infon"):
+            root.remove(infon)
+        for k, infon in enumerate(ET.fromstring(source).findall("./infon"), 1):
+            infon.tail = None
+            root.insert(k, infon)
+        out.append(ET.tostring(root, encoding="unicode", short_empty_elements=False))
+    return pa.array(out, pa.string())
+
+
+def overridden(fulltext: Column, abstract: Column) -> Column:
+    """A full text's document XML with its own direct infons taken out and those of the abstract's document, in order, put after its
+    id. Without an abstract the full text as it is, to the byte; without a full text null. A document that doesn't begin with
+    its id raises."""
+    return F.when(fulltext.isNotNull() & abstract.isNotNull(), _overridden(fulltext, abstract)).otherwise(fulltext)
+
+
+def documents(ids: DataFrame, rows: DataFrame, mode: str = "all") -> tuple[DataFrame, DataFrame]:
+    """((ord, pmid, kind, body), (ord, pmid) of those missing) of ids (ord, pmid), from a store's rows (kind, pmid, body): a full
+    text carries its abstract's infons (overridden)."""
+    if mode not in MODES:
+        raise ValueError(f"mode is one of {MODES}")
+    of = lambda kind, name: rows.where(F.col("kind") == kind).select("pmid", F.col("body").alias(name))
+    both = ids.join(of("abstract", "a"), "pmid", "left")
+    if mode != "abstracts":
+        both = both.join(of("fulltext", "f"), "pmid", "left").withColumn("f", overridden(F.col("f"), F.col("a")))
+    if mode == "abstracts":
+        kind, body = F.lit("abstract"), F.col("a")
+    elif mode == "fulltext":
+        kind, body = F.lit("fulltext"), F.col("f")
+    else:
+        kind, body = F.when(F.col("f").isNotNull(), "fulltext").otherwise("abstract"), F.coalesce("f", "a")
+    got = both.select("ord", "pmid", kind.alias("kind"), body.alias("body"))
+    return got.where("body is not null"), got.where("body is null").select("ord", "pmid")
+
+
 def missing(expected: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     return expected.join(existing.select(key).distinct(), key, "left_anti")
 
@@ -55,8 +104,6 @@ def collection(docs: DataFrame, body: str = "body", order: str = "ord") -> str:
 
 
 def pretty(xml: str) -> str:
-    import xml.etree.ElementTree as ET
-
     root = ET.fromstring(xml)
     ET.indent(root)
     return ET.tostring(root, encoding="unicode")

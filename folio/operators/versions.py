@@ -53,6 +53,18 @@ def merge_store(versions: DataFrame, **names) -> DataFrame:
     return versions.join(merge_exact(versions, **names).select(key, order), [key, order], "left_semi")
 
 
+#: What tells versions of a kind apart: full texts by their stamp, abstracts by their file (fixed values).
+TIMES = {"fulltext": "updated", "abstract": "file_index"}
+
+
+def winners(versions: DataFrame) -> DataFrame:
+    """The rows of (kind, pmid, body, hash, updated, file_index, input_ord) that are left after folding all inputs in order, the
+    least input_ord being what is there: of each kind by its own time. Bodies cross once, after the fold."""
+    time = F.when(F.col("kind") == "fulltext", F.col(TIMES["fulltext"])).otherwise(F.col(TIMES["abstract"]))
+    v = versions.withColumn("key_", F.struct("kind", "pmid")).withColumn("time_", time)
+    return merge_store(v, key="key_", time="time_").drop("key_", "time_", "input_ord")
+
+
 def latest_view(docs: DataFrame, key: str = "pmid", rank: str = "kind_rank", time: str = "time") -> DataFrame:
     """One row for each key: of the highest rank, then the latest."""
     rest = [c for c in docs.columns if c != key]

@@ -12,26 +12,35 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from .. import schema
 
 
-def raw_records(spark: SparkSession, path: str, tag: str) -> DataFrame:
-    """(file, xml) of each <tag ...>...</tag>; gz files are read as they are. Splittable unless compressed."""
+def raw_records(spark: SparkSession, path: str | list[str], tag: str) -> DataFrame:
+    """(file, block, pos, xml) of each <tag ...>...</tag>; gz files are read as they are. Splittable unless compressed.
+
+    block is where the record's split of the file begins, pos grows within it: (block, pos) orders a file's records as they are
+    written, however it is split, and no task has to see the whole file for that."""
     end = f"</{tag}>"
-    rows = spark.read.option("lineSep", end).text(path).withColumn("file", F.input_file_name())
+    rows = spark.read.option("lineSep", end).text(path)
+    rows = rows.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
     opened = rows.where(F.col("value").rlike(f"<{tag}[ >]"))
     body = F.regexp_extract("value", rf"(?s).*(<{tag}[ >].*)$", 1)
-    return opened.select("file", F.concat(body, F.lit(end)).alias("xml"))
+    return opened.select("file", "block", "pos", F.concat(body, F.lit(end)).alias("xml"))
 
 
-def citation_records(spark: SparkSession, path: str) -> DataFrame:
+def citation_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return raw_records(spark, path, "PubmedArticle")
 
 
 def biocxml(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of annotation XML: id, infons, passages."""
-    infon = "infon array<struct<_key:string,_VALUE:string>>"
-    doc = f"id string, {infon}, passage array<struct<{infon.replace(' ', ':', 1)}, offset:bigint, text:string>>"
-    rows = spark.read.format("xml").option("rowTag", "document").option("ignoreSurroundingSpaces", False).schema(doc).load(path)
-    as_map = lambda c: F.map_from_entries(F.transform(F.coalesce(c, F.array()), lambda x: F.struct(x["_key"], F.coalesce(x["_VALUE"], F.lit("")))))
-    return rows.select("id", as_map(F.col("infon").cast("array<struct<_key:string,_VALUE:string>>")).alias("infons"), F.transform("passage", lambda p: F.struct(as_map(p["infon"]).alias("infons"), p["offset"].alias("offset"), p["text"].alias("text"))).alias("passages"))
+    """Documents of annotation XML: file, block, pos (as raw_records), id, infons, passages with their annotations."""
+    kind = "array<struct<_key:string,_VALUE:string>>"
+    note = f"array<struct<_id:string,infon:{kind},location:array<struct<_offset:bigint,_length:bigint>>,text:string>>"
+    doc = f"id string, infon {kind}, passage array<struct<infon:{kind},offset:bigint,text:string,annotation:{note}>>"
+    rows = raw_records(spark, path, "document")
+    rows = rows.withColumn("d", F.from_xml("xml", doc, {"ignoreSurroundingSpaces": "false", "rowTag": "document"}))
+    as_map = lambda c: F.map_from_entries(F.transform(F.coalesce(c, F.array().cast(kind)), lambda x: F.struct(x["_key"], F.coalesce(x["_VALUE"], F.lit("")))))
+    where = lambda a: F.transform(F.coalesce(a["location"], F.array().cast("array<struct<_offset:bigint,_length:bigint>>")), lambda x: F.struct(x["_offset"].alias("offset"), x["_length"].alias("length")))
+    notes = lambda p: F.transform(F.coalesce(p["annotation"], F.array().cast(note)), lambda a: F.struct(a["_id"].alias("id"), as_map(a["infon"]).alias("infons"), F.coalesce(a["text"], F.lit("")).alias("text"), where(a).alias("locations")))
+    passages = F.transform(F.coalesce("d.passage", F.array().cast(f"array<struct<infon:{kind},offset:bigint,text:string,annotation:{note}>>")), lambda p: F.struct(as_map(p["infon"]).alias("infons"), p["offset"].alias("offset"), p["text"].alias("text"), notes(p).alias("annotations")))
+    return rows.select("file", "block", "pos", F.col("d.id").alias("id"), as_map(F.col("d.infon")).alias("infons"), passages.alias("passages"))
 
 
 def bioc_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -85,10 +94,10 @@ def checked(files: DataFrame, sums: DataFrame) -> DataFrame:
     return found.withColumn("content", ok).drop("name_", "md5_")
 
 
-FORMATS = {"pubmedxml": citation_records, "pmcxml": lambda spark, path: spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.col("value").alias("xml")), "biocxml": biocxml}
+FORMATS = {"pubmedxml": citation_records, "pmcxml": lambda spark, path: spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.lit(0).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("pos"), F.col("value").alias("xml")), "biocxml": biocxml}
 
 
-def open_format(spark: SparkSession, path: str, kind: str) -> DataFrame:
+def open_format(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame:
     if kind not in FORMATS:
         raise RuntimeError(f"unknown format {kind}")
     return FORMATS[kind](spark, path)

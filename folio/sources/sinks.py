@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import file_index as text_file_index
 from ..functions.text import hash40
 
 
@@ -21,13 +22,17 @@ def plain_text(passages: DataFrame, *document: str, order: str = "passage_idx",
 
 def bioc_xml(doc_id, infons, passages) -> str:
     """A <document> element; passages: structs of infons (a map), offset and text, with annotations if they have a field of that
-    name: structs of id, citation_text, offset and length."""
+    name: citation notes, structs of id, citation_text, offset and length, or others, structs of id, infons, text and locations
+    (structs of offset and length)."""
 
     def infon(m):
         return "".join(f"<infon key={_quoted(k)}>{escape('' if v is None else str(v))}</infon>" for k, v in (dict(m) if m is not None else {}).items())
 
     def note(a):
-        return f"<annotation id={_quoted(a['id'])}>{infon({'citation_text': a['citation_text']})}<location offset=\"{a['offset']}\" length=\"{a['length']}\"/><text></text></annotation>"
+        cited = "citation_text" in a
+        infons = {"citation_text": a["citation_text"], "type": "citation"} if cited else a["infons"]
+        places = "".join(f"<location offset=\"{x['offset']}\" length=\"{x['length']}\"/>" for x in ([a] if cited else a["locations"]))
+        return f"<annotation id={_quoted(a['id'])}>{infon(infons)}{places}<text>{'' if cited else escape(a['text'] or '')}</text></annotation>"
 
     def passage(p):
         notes = p.get("annotations")
@@ -72,6 +77,23 @@ def save_store(docs: DataFrame, path: str, kind: str, updated: int, file_index:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kind", "file_index").parquet(path)
 
 
+def save_documents(docs: DataFrame, path: str, kind: str, updated: int, file_index=None) -> None:
+    """Writes documents (file, block, pos, id, infons, passages) as the store partitions of their files, replacing those.
+
+    Of a file's documents of one id the first by (block, pos) stays; a null id, '', 'None' and '0' is none, and its document is left
+    out; an id that is no number raises. file_index: of abstracts, a column (by default the six digits of the file's name); full
+    texts have -1, and all files given are one input. Documents are shuffled once, by file and id, with only the first of each
+    split's repeats."""
+    key = F.col("file") if kind == "abstract" else F.lit("")
+    good = docs.where(F.col("id").isNotNull() & ~F.trim("id").isin("", "None", "0"))
+    index = F.lit(-1) if kind != "abstract" else text_file_index(F.col("file")) if file_index is None else file_index
+    good = good.select(key.alias("f_"), F.trim("id").cast("bigint").alias("pmid"), index.cast("bigint").alias("i_"), F.struct("file", "block", "pos").alias("at_"), F.struct("id", "infons", "passages").alias("d_"))
+    one = good.groupBy("f_", "pmid", "i_").agg(F.min_by("d_", "at_").alias("d_")).where("pmid <> 0")
+    rows = one.select("pmid", bioc_document("d_.id", "d_.infons", "d_.passages").alias("body"), "i_")
+    rows = rows.select(F.lit(kind).alias("kind"), "pmid", "body", hash40(F.col("body")).alias("hash"), F.lit(updated).cast("bigint").alias("updated"), F.col("i_").alias("file_index"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kind", "file_index").parquet(path)
+
+
 def write_listing(listing: DataFrame, path: str) -> None:
     listing.write.csv(path, sep="\t", header=True)
 
@@ -85,13 +107,29 @@ def live(manifest: DataFrame) -> DataFrame:
     return manifest.where("not consumed and size > 0")
 
 
-def write_lines(rows: DataFrame, path: str, head: str = "", between: str = "\n", tail: str = "") -> None:
-    """Writes the one column of rows, in their order, to one file. The driver streams them, a partition at a time; for files that
+def emptied(spark, path: str) -> None:
+    """Takes the contents of a table's folder away but leaves the folder, with the time it was last changed: an input that has been
+    used stays known, without its disk."""
+    fs, (at,) = _paths(spark, path)
+    status = fs.getFileStatus(at)
+    for s in fs.listStatus(at):
+        fs.delete(s.getPath(), True)
+    fs.setTimes(at, status.getModificationTime(), -1)
+
+
+def filled(spark, path: str) -> bool:
+    """Whether a table's folder has contents."""
+    fs, (at,) = _paths(spark, path)
+    return fs.getContentSummary(at).getLength() > 0
+
+
+def write_lines(rows: DataFrame, path: str, head: str = "", between: str = "\n", tail: str = "") -> int:
+    """Writes the one column of rows, in their order, to one file, and returns how many. The driver streams them, a partition at a time; for files that
     have to be one: indexes, groupings and collections of requested ids."""
     fs, (part, at) = _paths(rows.sparkSession, f"{path}.part", path)
-    out, held = fs.create(part, True), [head]
-    for k, r in enumerate(rows.toLocalIterator()):
-        held += [between, r[0]] if k else [r[0]]
+    out, held, n = fs.create(part, True), [head], 0
+    for n, r in enumerate(rows.toLocalIterator(), 1):
+        held += [between, r[0]] if n > 1 else [r[0]]
         if len(held) > 4096:
             out.write("".join(held).encode())
             held = []
@@ -100,6 +138,7 @@ def write_lines(rows: DataFrame, path: str, head: str = "", between: str = "\n",
     fs.delete(at, False)
     if not fs.rename(part, at):
         raise OSError(f"can't rename to {path}")
+    return n
 
 
 def write_groupings(groups: DataFrame, path: str) -> None:
