@@ -59,7 +59,7 @@ def numbered(annotations: DataFrame, *order: str) -> DataFrame:
     driver is a count for each range."""
     spark = annotations.sparkSession
     spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    a = _checkpointed(annotations.repartitionByRange(spread, *order).withColumn("p_", F.spark_partition_id()))
+    a = checkpointed(annotations.repartitionByRange(spread, *order).withColumn("p_", F.spark_partition_id()))
     counts = {r.p_: r["count"] for r in a.groupBy("p_").count().collect()}
     before, total = [], 0
     for p in sorted(counts):
@@ -69,7 +69,7 @@ def numbered(annotations: DataFrame, *order: str) -> DataFrame:
     return a.join(F.broadcast(spark.createDataFrame(before, "p_ int, b_ bigint")), "p_").withColumn("ann_no", F.col("k_") + F.col("b_")).drop("p_", "k_", "b_")
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         at = sc.getConf().get("spark.checkpoint.dir")

@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import annotate, grouping, retrieve, versions
+from ..operators import align, annotate, grouping, retrieve, versions
 from ..sources import readers, remote, sinks, store
 from . import convert
 
@@ -124,10 +124,11 @@ def _job(spark: SparkSession, docs: DataFrame, out: str, kind: str, updated: int
 def annotate_file(spark: SparkSession, docs: str, mentions: str, out: str) -> dict[str, int]:
     """Documents of annotation XML with the annotations of a mention table, in the order of their files."""
     read = readers.biocxml(spark, docs)
-    got = annotate.annotated(read, readers.mention_table(spark, mentions))
-    seen = Observation()
-    got = got.observe(seen, F.count("*").alias("documents"), F.sum(F.aggregate("passages", F.lit(0), lambda a, p: a + F.size(p["annotations"]))).alias("annotations"))
-    sinks.write_bioc(got.repartitionByRange("file", "block", "pos").sortWithinPartitions("file", "block", "pos"), out)
+    # checkpointed: ranges are sampled, which would align twice
+    got = align.checkpointed(annotate.annotated(read, readers.mention_table(spark, mentions)))
+    seen, notes = Observation(), F.aggregate("passages", F.lit(0), lambda a, p: a + F.size(p["annotations"]))
+    got = got.repartitionByRange(*convert.PLACE).sortWithinPartitions(*convert.PLACE).observe(seen, F.count("*").alias("documents"), F.sum(notes).alias("annotations"))
+    sinks.write_bioc(got, out)
     return seen.get
 
 
