@@ -69,10 +69,11 @@ def lookup(spark: SparkSession, path: str, ids: DataFrame) -> DataFrame:
     return rows(spark, path, {(k, b) for k in ("abstract", "fulltext") for b in touched})
 
 
-def change(spark: SparkSession, path: str, inputs: list[DataFrame], buckets: int = BUCKETS) -> dict:
+def change(spark: SparkSession, path: str, inputs: list[DataFrame], buckets: int = BUCKETS, fold: bool = True) -> dict:
     """Folds inputs, tables of the store's columns in their order, into the store; {"touched": buckets written, "of": buckets}.
 
-    What is there is version 0. A pmid occurs once in an input. Nothing is written where there are no inputs or no rows."""
+    What is there is version 0. A pmid occurs once in an input. Nothing is written where there are no inputs or no rows.
+    Without `fold` the inputs, which then have no pmid in common, replace what is there."""
     state = manifest(spark, path)
     buckets = state["buckets"] if state["at"] else buckets
     new = None
@@ -84,10 +85,13 @@ def change(spark: SparkSession, path: str, inputs: list[DataFrame], buckets: int
     touched = {(r.kind, r.bucket) for r in new.select("kind", bucket_of(buckets).alias("bucket")).distinct().collect()}
     if not touched:
         return {"touched": 0, "of": len(state["at"])}
-    every = rows(spark, path, touched).withColumn("input_ord", F.lit(0)).unionByName(new)
+    old = rows(spark, path, touched).withColumn("input_ord", F.lit(0))
+    if fold:
+        won = versions.winners(old.unionByName(new))
+    else:
+        won = old.join(new.select("kind", "pmid"), ["kind", "pmid"], "left_anti").unionByName(new).drop("input_ord")
     write = uuid.uuid4().hex
-    won = versions.winners(every).withColumn("bucket", bucket_of(buckets))
-    won.repartition("kind", "bucket").write.partitionBy("kind", "bucket").parquet(f"{path}/data/write={write}")
+    won.withColumn("bucket", bucket_of(buckets)).repartition("kind", "bucket").write.partitionBy("kind", "bucket").parquet(f"{path}/data/write={write}")
     state = {"buckets": buckets, "at": state["at"] | {f"{k}/{b}": write for k, b in touched}}
     number = (_numbers(spark, path) or [0])[-1] + 1
     fs, at = _fs(spark, f"{path}/_manifest/{number:012d}")
