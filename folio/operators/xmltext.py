@@ -28,8 +28,14 @@ _steps = [
 ]
 
 
+#: What any step could change in a text of printable characters (no control, no separator but the space).
+_odd = re.compile(r"[(\[{]|  |^ | $| [.,;]|, ?[.,]")
+
+
 def cleanup(text: str) -> str:
-    """The same steps as functions.text.cleanup."""
+    """The same steps as functions.text.cleanup; a text that none of them would change isn't put through them."""
+    if text.isprintable() and not _odd.search(text):
+        return text
     for pattern, new in _steps:
         text = pattern.sub(new, text)
     return text

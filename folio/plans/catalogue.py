@@ -29,6 +29,22 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder's path in the shared folder."""
+    import tempfile
+    import uuid
+
+    at = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+        at = tempfile.mkdtemp(prefix="folio-scratch-")
+    path = f"{at}/folio-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -473,25 +489,21 @@ def gzip_roundtrip(spark, sf_dir):
 
 @query(ORACLES["version_merge_ordered"])
 def stream_ingest(spark, sf_dir):
-    import tempfile
-    import uuid
-
     from ..streaming.ingest import ingest_versions
 
-    at = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not at:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
-        at = tempfile.mkdtemp(prefix="folio-stream-")
-    at = f"{at}/stream-{uuid.uuid4().hex}"
+    at = scratch(spark)
     events = t(spark, sf_dir, "events")
     prepare = lambda b: b.select(F.col("user_id").alias("pmid"), F.col("event_id").alias("input_ord"), F.col("event_id").alias("time"), F.col("event_type").alias("hash"))
     return ingest_versions(spark, f"{sf_dir}/events.parquet*", events.schema, f"{at}/store", f"{at}/checkpoint", prepare).select("pmid", "hash", "time")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import catalogue_jobs  # noqa: F401  adds its own
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import catalogue_jobs  # noqa: F401
+
     return dict(ORACLES)
