@@ -25,13 +25,14 @@ def _signs(s: Column) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    """The distinct words of a text, names of Greek letters as signs: what first_word is looked up among."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(f"{WORD}+"), F.lit(0)), _signs))
+    """Hashes of the distinct words of a text, names of Greek letters as signs: what first_word is looked up among."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(_signs(text), F.lit(f"{WORD}+"), F.lit(0)), lambda w: F.xxhash64(w)))
 
 
 def first_word(mention: Column) -> Column:
-    """The first word of a mention, which is a whole word of every text that the mention's pattern matches; '' if it has none."""
-    return _signs(F.regexp_extract(mention, f"{WORD}+", 0))
+    """The hash of a mention's first word, which is a whole word of every text that the mention's pattern matches; that of '' if it has
+    none."""
+    return F.xxhash64(_signs(F.regexp_extract(mention, f"{WORD}+", 0)))
 
 
 def mention_pattern(mention: Column) -> Column:

@@ -12,7 +12,7 @@ from ..functions.spans import chosen_only, concept_list, find_spans, first_word,
 
 def patterns(mentions: DataFrame, passages: DataFrame) -> DataFrame:
     """(pmid, type, conceptid, pattern, word) of the mentions of documents at hand; one row for each mention, its pattern made once;
-    word: its first word (spans.first_word)."""
+    word: spans.first_word."""
     wanted = mentions.where("mentions <> ''").join(passages.select("pmid").distinct(), "pmid", "left_semi")
     each = wanted.select("pmid", "type", "conceptid", F.explode(F.filter(F.transform(F.split("mentions", r"\|"), lambda m: F.trim(m)), lambda m: m != "")).alias("mention"))
     return each.distinct().select("pmid", "type", "conceptid", mention_pattern(F.col("mention")).alias("pattern"), first_word(F.col("mention")).alias("word"))
@@ -21,11 +21,11 @@ def patterns(mentions: DataFrame, passages: DataFrame) -> DataFrame:
 def candidates(passages: DataFrame, mentions: DataFrame, *document: str) -> DataFrame:
     """(pmid, document columns, passage_idx, start, end, type, conceptid) of all matches.
 
-    Passages and mentions meet by a word: each passage gives its distinct words, a mention its first one ('' for a mention without
-    a word, which meets all passages of its pmid). A passage is matched only with the mentions it met, in its own row, so a text
+    Passages and mentions meet by a word: each passage gives the hashes of its distinct words, a mention that of its first one (of ''
+    for a mention without a word, which meets all passages of its pmid). A passage is matched only with the mentions it met, in its own row, so a text
     isn't copied for each of them. Documents with very many mentions are skewed keys that Spark splits in the joins."""
     keys = ["pmid", *document, "passage_idx"]
-    words = passages.select(*keys, F.explode(F.array_union(words_of(F.col("text")), F.array(F.lit("")))).alias("word"))
+    words = passages.select(*keys, F.explode(F.array_union(words_of(F.col("text")), F.array(F.xxhash64(F.lit(""))))).alias("word"))
     met = words.join(patterns(mentions, passages), ["pmid", "word"]).groupBy(*keys).agg(F.collect_set(F.struct("pattern", "type", "conceptid")).alias("ms"))
     rows = passages.alias("p").join(met.alias("m"), [F.col(f"p.{k}").eqNullSafe(F.col(f"m.{k}")) if k in document else F.col(f"p.{k}") == F.col(f"m.{k}") for k in keys])
     found = F.flatten(F.transform("ms", lambda m: F.transform(find_spans(F.col("p.text"), m["pattern"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), m["type"].alias("type"), m["conceptid"].alias("conceptid")))))

@@ -397,7 +397,13 @@ def align_numbered(spark, sf_dir):
     return align.numbered(align_spans(spark, sf_dir), "pmid", "start", "end")
 
 
-@query(None)
+#: A pair of words is the longer mention, wherever its first word begins one: of pairs that share a word every other one counts. Single
+#: words count outside of these.
+@query(rf"""with {_SQL_WORDS}, n as (select q.*, d.w[4] as two, lead(word) over x as nw, lead(gap) over x as ng, lead(s) over x as ns from q join d on d.pmid = q.pmid window x as (partition by q.pmid order by i)),
+c as (select pmid, i, s, ns + length(nw) - s as len, i - row_number() over (partition by pmid order by i) as g from n where word = one and nw = two and regexp_full_match(ng, '[ \t\n\x0B\f\r]+')),
+k as (select pmid, i, s, len from (select *, row_number() over (partition by pmid, g order by i) as r from c) where r % 2 = 1),
+a as (select pmid, s, len, 'c2' as conceptid from k union all select n.pmid, n.s, length(n.word), 'c1' from n left join k on k.pmid = n.pmid and k.i in (n.i, n.i - 1) where word = one and k.pmid is null)
+select a.pmid, 0 as passage_idx, 'T1.' || row_number() over (partition by a.pmid order by s) as ann_id, 'W' as type, conceptid, substr(text, (s + 1)::bigint, len::bigint) as text, s::bigint as "offset", len::bigint as length from a join documents on doc_id = a.pmid""")
 def align_nonoverlap(spark, sf_dir):
     m = _mentions(spark, sf_dir)
     table = m.select("pmid", F.lit("W").alias("type"), F.explode(F.array(F.struct(F.lit("c1").alias("c"), F.col("one").alias("m")), F.struct(F.lit("c2").alias("c"), F.col("two").alias("m")))).alias("x"))
