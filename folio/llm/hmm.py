@@ -82,6 +82,10 @@ class Model:
         return out
 
 
+#: Steps of a group whose alphas are held at once.
+BLOCK = 8192
+
+
 def groups(seqs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(rows, lengths, padded symbols by step) of texts of like length, longest first in each group."""
     size = np.array([len(s) for s in seqs])
@@ -97,17 +101,17 @@ def groups(seqs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.
         at += n
 
 
-def forward(sym: np.ndarray, size: np.ndarray, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
-    """Scaled forward recursion of a group: (alpha by step, scales by step, emissions by step, texts alive by step)."""
+def forward(sym: np.ndarray, size: np.ndarray, start: np.ndarray, move: np.ndarray, emit: np.ndarray, before: np.ndarray | None = None):
+    """Scaled forward recursion of a group, or of a block of its steps that the alphas `before` come before: (alpha by step, scales by
+    step, emissions by step, texts alive by step)."""
     steps, n = sym.shape
     alive = n - np.searchsorted(size[::-1], np.arange(steps), "right")
     e = emit[sym]
     alpha, scale = np.zeros_like(e), np.ones((steps, n))
-    a = start * e[0]
+    a = before
     for t in range(steps):
         k = alive[t]
-        if t:
-            a = (a[:k] @ move) * e[t, :k]
+        a = start * e[0] if a is None else (a[:k] @ move) * e[t, :k]
         c = a.sum(1)
         a = a / c[:, None]
         alpha[t, :k], scale[t, :k] = a, c
@@ -115,33 +119,48 @@ def forward(sym: np.ndarray, size: np.ndarray, start: np.ndarray, move: np.ndarr
 
 
 def log_likelihood(seqs: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> np.ndarray:
-    """Natural log of each sequence's exact probability."""
+    """Natural log of each sequence's exact probability. Of a group only the alphas of one step are held."""
     out = np.zeros(len(seqs))
     for rows, size, sym in groups(seqs):
-        out[rows] = np.log(forward(sym, size, start, move, emit)[1]).sum(0)
+        total, a = np.zeros(len(rows)), None
+        for t, k in enumerate(len(rows) - np.searchsorted(size[::-1], np.arange(len(sym)), "right")):
+            a = start * emit[sym[0]] if a is None else (a[:k] @ move) * emit[sym[t, :k]]
+            c = a.sum(1)
+            a = a / c[:, None]
+            total[:k] += np.log(c)
+        out[rows] = total
     return out
 
 
 def expected(seqs: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch counts: of first states, of moves, of emissions (symbols, K)."""
+    """Baum-Welch counts: of first states, of moves, of emissions (symbols, K). Of a group of more than BLOCK steps the alphas
+    between blocks are kept, and each block's are made again on the way back: memory grows with the symbols, not with them
+    times the states."""
     k, symbols = len(start), len(emit)
     c_start, c_move, c_emit = np.zeros(k), np.zeros((k, k)), np.zeros((symbols, k))
     for _, size, sym in groups(seqs):
-        alpha, scale, e, alive = forward(sym, size, start, move, emit)
         steps, n = sym.shape
-        beta = np.ones((n, k))
-        gamma = np.empty_like(alpha)
-        gamma[-1] = alpha[-1]
-        for t in range(steps - 2, -1, -1):
-            m = alive[t + 1]
-            follow = e[t + 1, :m] * beta[:m] / scale[t + 1, :m, None]
-            c_move += alpha[t, :m].T @ follow
-            beta[:m] = follow @ move.T
-            gamma[t] = alpha[t] * beta
+        firsts, kept = range(0, steps, BLOCK), [None]
+        for b in firsts[1:]:
+            alpha, _, _, alive = forward(sym[b - BLOCK : b], size - b + BLOCK, start, move, emit, kept[-1])
+            kept.append(alpha[-1, : alive[-1]].copy())
+        beta, after = np.ones((n, k)), None
+        for b, before in zip(reversed(firsts), reversed(kept)):
+            part = sym[b : b + BLOCK]
+            alpha, scale, e, alive = forward(part, size - b, start, move, emit, before)
+            gamma = np.empty_like(alpha)
+            for t in range(len(part) - 1, -1, -1):
+                if after is not None:
+                    e1, s1, m = after
+                    follow = e1[:m] * beta[:m] / s1[:m, None]
+                    c_move += alpha[t, :m].T @ follow
+                    beta[:m] = follow @ move.T
+                gamma[t] = alpha[t] * beta
+                after = e[t], scale[t], alive[t]
+            flat, weights = part.reshape(-1), gamma.reshape(-1, k)
+            for s in range(k):
+                c_emit[:, s] += np.bincount(flat, weights[:, s], symbols)
         c_start += gamma[0].sum(0)
-        flat, weights = sym.reshape(-1), gamma.reshape(-1, k)
-        for s in range(k):
-            c_emit[:, s] += np.bincount(flat, weights[:, s], symbols)
     return c_start, c_move * move, c_emit
 
 

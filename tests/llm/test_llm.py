@@ -199,6 +199,28 @@ def test_hmm_is_exact():
     assert after > before
 
 
+def test_hmm_long(monkeypatch):
+    """A text of 60,000 words: counts in blocks as in one, in memory that doesn't grow with words times states."""
+    rng = np.random.default_rng(3)
+    k, m = 4, 50
+    start, move, emit = rng.dirichlet([1] * k), rng.dirichlet([1] * k, k), rng.dirichlet([1] * m, k).T
+    seqs = [rng.integers(0, m, n) for n in (1, 5, 16, 17, 33, 100, 2, 99, 64)]
+    whole = hmm.expected(seqs, start, move, emit)
+    for block in (1, 2, 7, 16, 64):
+        monkeypatch.setattr(hmm, "BLOCK", block)
+        assert all(np.allclose(a, b) for a, b in zip(whole, hmm.expected(seqs, start, move, emit)))
+    monkeypatch.undo()
+    long = [rng.integers(0, m, 60_000)]
+    import tracemalloc
+
+    tracemalloc.start()
+    got = hmm.expected(long, start, move, emit)
+    score = hmm.log_likelihood(long, start, move, emit)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.isclose(got[2].sum(), 60_000) and np.isfinite(score).all() and peak < 60_000 * 8 * (k + 1)
+
+
 def test_hmm(spark, docs, empty):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     train = rows.where("doc_id % 3 > 0")
@@ -437,6 +459,40 @@ def test_syncmers_by_definition():
         assert len(set(same.values())) == len(same)
 
 
+def plain_sketch(text, keep=48, sparse=16):
+    """{hash: first position} of a fingerprint; anchors as above. A text without one is its own."""
+    cps, off = syncmers._utf32([text])
+    at, h = syncmers._anchors(cps, off, 16, 8)
+    first = {}
+    for i, x in zip(at.tolist(), h.tolist()):
+        first.setdefault(x, i)
+    if text and not first:
+        first = {int.from_bytes(hashlib.blake2b(text.encode("utf-32-le"), digest_size=8).digest(), "little"): 0}
+    return dict(sorted(first.items())[: max(keep, len(first) // sparse)])
+
+
+def plain_likeness(a, b, keep=48):
+    if not a or not b:
+        return float(len(a) == len(b))
+    union = sorted({*a, *b})[: max(keep, min(len(a), len(b)))]
+    shift = Counter(a[x] - b[x] for x in union if x in a and x in b)
+    return max(shift.values(), default=0) / len(union)
+
+
+def test_syncmers_likeness(spark):
+    """The query's likenesses and fingerprints against plain sets of anchors."""
+    rows = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    got = {r.doc_id: r for r in queries.queries()["op10_syncmers"](spark, SF).collect()}
+    assert len(got) == len(rows)
+    for k, (i, t) in enumerate(rows):
+        following = rows[(k + 1) % len(rows)][1]
+        n = len(t) // 2
+        changed = t[: len(t) - n] + following[:n]
+        own, new, other = plain_sketch(t), plain_sketch(changed), plain_sketch(following)
+        assert got[i].near_edited == pytest.approx(plain_likeness(own, new)) and got[i].near_next == pytest.approx(plain_likeness(own, other))
+        assert [got[i].fingerprint, got[i].edited_fingerprint] == ["".join(f"{h:016x}{p:08x}" for h, p in x.items()) for x in (own, new)]
+
+
 def inner_order(cps, i, k, s):
     """The operator's own rank of each inner substring, computed one at a time."""
     up, down = syncmers.powers(k + 1)
