@@ -262,7 +262,8 @@ def near_paragraphs(docs: DataFrame, text: str = "text", similarity: float = SIM
     # buckets whose members are still in different components: all pairs across these, but those already held against a hub
     marked = written(met.join(label, met["key"] == label["node"], "left").select("band", "hash", "lo", "hi", "key", F.coalesce("component", "key").alias("c")))
     mixed = marked.groupBy("band", "hash").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("m")).where("c0 <> c1 and m > 2").select("band", "hash", "m")
-    sketch = lines.join(found, "key", "left_semi").dropDuplicates(["key"]).select("key", "bands")
+    # made distinct before the join: a line that very many documents have is one row of each task by then
+    sketch = lines.select("key", "bands").dropDuplicates(["key"]).join(found, "key", "left_semi")
     left = written(blocked(marked.where("key <> lo and key <> hi").join(mixed, ["band", "hash"]), "m").join(found.select("key", "n", *marks), "key").join(sketch, "key"))
     # a pair comes from its first common band alone, and only if its bitmaps allow a link
     alone = "array_position(zip_with(x.bands, y.bands, (p, q) -> p = q), true) = x.band + 1"
