@@ -84,6 +84,8 @@ class Model:
 
 #: Steps of a group whose alphas are held at once.
 BLOCK = 8192
+#: Steps whose emissions are looked up at once in scoring.
+STEPS = 512
 
 
 def groups(seqs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -119,16 +121,22 @@ def forward(sym: np.ndarray, size: np.ndarray, start: np.ndarray, move: np.ndarr
 
 
 def log_likelihood(seqs: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> np.ndarray:
-    """Natural log of each sequence's exact probability. Of a group only the alphas of one step are held."""
+    """Natural log of each sequence's exact probability. Of a group the alphas of one step are held, the emissions of STEPS, and a
+    scale for each symbol."""
     out = np.zeros(len(seqs))
     for rows, size, sym in groups(seqs):
-        total, a = np.zeros(len(rows)), None
-        for t, k in enumerate(len(rows) - np.searchsorted(size[::-1], np.arange(len(sym)), "right")):
-            a = start * emit[sym[0]] if a is None else (a[:k] @ move) * emit[sym[t, :k]]
-            c = a.sum(1)
-            a = a / c[:, None]
-            total[:k] += np.log(c)
-        out[rows] = total
+        steps, n = sym.shape
+        alive = (n - np.searchsorted(size[::-1], np.arange(steps), "right")).tolist()
+        scale, a = np.ones((steps, n)), None
+        for b in range(0, steps, STEPS):
+            e = emit[sym[b : b + STEPS]]
+            for t in range(b, min(b + STEPS, steps)):
+                k = alive[t]
+                a = start * e[0] if a is None else (a[:k] @ move) * e[t - b, :k]
+                c = a.sum(1)
+                a /= c[:, None]
+                scale[t, :k] = c
+        out[rows] = np.log(scale).sum(0)
     return out
 
 

@@ -19,6 +19,8 @@ K, SIMILARITY, RECALL, ROWS = 5, 0.8, 0.995, 3
 #: Every paragraph (line) of K words is compared. One of fewer than so many is cut only within a longer run of repeated words, or
 #: with a text that repeats whole: lines such as a licence's name stay.
 PARAGRAPH_WORDS = 20
+#: A text of so many words or more that repeats whole is cut, whatever its paragraphs.
+TEXT_WORDS = 10
 #: A sentence of fewer words belongs to the next one.
 SENTENCE_WORDS = 5
 #: Repeated words in a row that are removed at least: paragraphs and sentences that repeat add up.
@@ -282,7 +284,7 @@ def dedup(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, r
     Two things repeat: a paragraph (a line of 5 words or more) whose 5-word shingles are 80 % like an earlier one's, found
     by MinHash bands, verified exactly and clustered by components; and a sentence, or a run of WINDOW words wherever it
     begins, equal to an earlier one. Earlier is by doc_id, then by place; the first occurrence stays. Such a paragraph of
-    PARAGRAPH_WORDS or more is cut, and so is a text of 5 words or more all of which repeat; where other repeated words in a row come to `run_words` or more they are cut, with the space after
+    PARAGRAPH_WORDS or more is cut, and so is a text of TEXT_WORDS or more all of which repeat; where other repeated words in a row come to `run_words` or more they are cut, with the space after
     them; anything shorter is left as it is, so a document without such a run keeps its text to the byte. n_words and removed_words are counts; kept_in lists (ascending, distinct) the
     doc_ids that hold the copies which stay. Null and empty texts stay as they are. Of rows that share a doc_id, the first
     (by text) keeps a passage; rows alike in doc_id and text are one document and get the same result. A doc_id is any integer; null ones come
@@ -462,7 +464,7 @@ def dedup(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, r
                 source[new] = keeper[idx][flag][np.maximum.accumulate(latest)[new]]
             # a text that repeats whole
             left = np.bincount(p._row()[~gone], minlength=rows)
-            must |= np.repeat((left == 0) & (w.per_doc >= K), w.per_doc)
+            must |= np.repeat((left == 0) & (w.per_doc >= TEXT_WORDS), w.per_doc)
             # runs within documents: long ones, and of others the paragraphs
             start, end = runs_of(gone, w)
             big = (end - start) >= run_words
