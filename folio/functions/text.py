@@ -10,53 +10,55 @@ WORD = r"[\p{L}\p{N}_]"
 NO_WORD = r"[^\p{L}\p{N}_\t]*"
 
 #: The names of subsections that are recognised (fixed values).
-SUBSECTIONS = """abbreviations
-additional information
-analysis
-author contributions
-authors' contributions
-authors’ contributions
-background
-case report
-competing interests
-conclusion
-conclusions
-conflict of interest
-conflicts of interest
-consent
-data analysis
-data collection
-discussion
-ethics statement
-funding
-introduction
-limitations
-material and methods
-materials
-materials and methods
-measures
-method
-methods
-participants
-patients and methods
-pre-publication history
-related literature
-results
-results and discussion
-statistical analyses
-statistical analysis
-statistical methods
-statistics
-study design
-summary
-supplementary data
-supplementary information
-supplementary material
-supporting information""".split("\n")
+SUBSECTIONS = [
+    "abbreviations",
+    "additional information",
+    "analysis",
+    "author contributions",
+    "authors' contributions",
+    "authors’ contributions",
+    "background",
+    "case report",
+    "competing interests",
+    "conclusion",
+    "conclusions",
+    "conflict of interest",
+    "conflicts of interest",
+    "consent",
+    "data analysis",
+    "data collection",
+    "discussion",
+    "ethics statement",
+    "funding",
+    "introduction",
+    "limitations",
+    "material and methods",
+    "materials",
+    "materials and methods",
+    "measures",
+    "method",
+    "methods",
+    "participants",
+    "patients and methods",
+    "pre-publication history",
+    "related literature",
+    "results",
+    "results and discussion",
+    "statistical analyses",
+    "statistical analysis",
+    "statistical methods",
+    "statistics",
+    "study design",
+    "summary",
+    "supplementary data",
+    "supplementary information",
+    "supplementary material",
+    "supporting information",
+]
 
 EMPTY_BRACKETS = [(rf"\({NO_WORD}\)", ""), (rf"\[{NO_WORD}\]", ""), (rf"\{{{NO_WORD}\}}", "")]
 
-#: Steps of cleanup, in order. Java syntax; after the third only space and TAB are left of all white space.
+#: Steps of cleanup, in order (fixed behaviour; operators.xmltext takes them from here). Java syntax; after the third only space and TAB are left of all white space.
 CLEANUP = [
     (r"[\x{2028}\x{2029}]", " "),
     (r"[\p{C}&&[^\t]]", ""),

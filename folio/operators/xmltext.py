@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 
 import regex
 
+from ..functions.text import CLEANUP, EMPTY_BRACKETS
+
 #: Elements whose contents are left out (fixed values).
 IGNORED = frozenset(["xref", "disp-formula", "inline-formula", "ref-list", "bio", "ack", "graphic", "media", "tex-math", "mml:math", "object-id", "ext-link"])
 #: Elements that begin a passage (fixed values).
@@ -19,13 +21,10 @@ PASSAGE_TAGS = ("title", "p", "sec", "def-item", "list-item", "caption", "thead"
 CELLS = frozenset(["tr", "th", "td"])
 _internal = re.compile(r"(supp|suppl|supplementary)?\s*(table|figure)\s*s?\d+")
 
-_no_word = r"[^\p{L}\p{N}_\t]*"
-_brackets = [regex.compile(p) for p in (rf"\({_no_word}\)", rf"\[{_no_word}\]", rf"\{{{_no_word}\}}")]
-_steps = [
-    *[(regex.compile(p), n) for p, n in (("[  ]", " "), (r"[^\P{C}\t]", ""), (r"\p{Z}", " "), (r",( *,)*", ","), (r"(, *)*\.", "."))],
-    *[(p, "") for p in _brackets],
-    *[(regex.compile(p), n) for p, n in ((r"\( *([^)]*[^\s)]) *\)", r"(\1)"), (r" +\.(\s|$)", r".\1"), (r" *([,;]) +", r"\1 "), (r"(^|\t) +", r"\1"), (r" +(\t|$)", r"\1"), (r" {2,}", " "))],
-]
+_brackets = [regex.compile(p) for p, _ in EMPTY_BRACKETS]
+#: Java's syntax for two classes, and this one.
+_classes = {r"[\x{2028}\x{2029}]": "[\u2028\u2029]", r"[\p{C}&&[^\t]]": r"[^\P{C}\t]"}
+_steps = [(regex.compile(_classes.get(p, p)), n.replace("$1", r"\1")) for p, n in CLEANUP]
 
 
 #: What any step could change in a text of printable characters (no control, no separator but the space).
