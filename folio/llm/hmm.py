@@ -113,10 +113,16 @@ def forward(sym: np.ndarray, size: np.ndarray, start: np.ndarray, move: np.ndarr
     a = before
     for t in range(steps):
         k = alive[t]
-        a = start * e[0] if a is None else (a[:k] @ move) * e[t, :k]
-        c = a.sum(1)
-        a = a / c[:, None]
-        alpha[t, :k], scale[t, :k] = a, c
+        x = alpha[t, :k]
+        if a is None:
+            np.multiply(start, e[0], out=x)
+        else:
+            np.matmul(a[:k], move, out=x)
+            x *= e[t, :k]
+        c = x.sum(1)
+        x /= c[:, None]
+        scale[t, :k] = c
+        a = x
     return alpha, scale, e, alive
 
 
@@ -152,19 +158,24 @@ def expected(seqs: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit:
         for b in firsts[1:]:
             alpha, _, _, alive = forward(sym[b - BLOCK : b], size - b + BLOCK, start, move, emit, kept[-1])
             kept.append(alpha[-1, : alive[-1]].copy())
-        beta, after = np.ones((n, k)), None
+        back, after = np.ascontiguousarray(move.T), None
         for b, before in zip(reversed(firsts), reversed(kept)):
             part = sym[b : b + BLOCK]
             alpha, scale, e, alive = forward(part, size - b, start, move, emit, before)
-            gamma = np.empty_like(alpha)
+            e /= scale[:, :, None]
+            beta, follow = np.ones_like(alpha), np.zeros_like(alpha)
             for t in range(len(part) - 1, -1, -1):
-                if after is not None:
-                    e1, s1, m = after
-                    follow = e1[:m] * beta[:m] / s1[:m, None]
-                    c_move += alpha[t, :m].T @ follow
-                    beta[:m] = follow @ move.T
-                gamma[t] = alpha[t] * beta
-                after = e[t], scale[t], alive[t]
+                if t + 1 < len(part):
+                    m, ahead, weight = alive[t + 1], beta[t + 1], e[t + 1]
+                elif after is not None:
+                    m, ahead, weight = after
+                else:
+                    continue
+                np.multiply(weight[:m], ahead[:m], out=follow[t, :m])
+                np.matmul(follow[t, :m], back, out=beta[t, :m])
+            c_move += alpha.reshape(-1, k).T @ follow.reshape(-1, k)
+            gamma = np.multiply(alpha, beta, out=alpha)
+            after = alive[0], beta[0].copy(), e[0].copy()
             flat, weights = part.reshape(-1), gamma.reshape(-1, k)
             for s in range(k):
                 c_emit[:, s] += np.bincount(flat, weights[:, s], symbols)

@@ -200,7 +200,7 @@ def test_hmm_is_exact():
 
 
 def test_hmm_long(monkeypatch):
-    """A text of 60,000 words: counts in blocks as in one, in memory that doesn't grow with words times states."""
+    """A text of 120,000 words: counts in blocks as in one, in memory that doesn't grow with words times states."""
     rng = np.random.default_rng(3)
     k, m = 4, 50
     start, move, emit = rng.dirichlet([1] * k), rng.dirichlet([1] * k, k), rng.dirichlet([1] * m, k).T
@@ -210,7 +210,7 @@ def test_hmm_long(monkeypatch):
         monkeypatch.setattr(hmm, "BLOCK", block)
         assert all(np.allclose(a, b) for a, b in zip(whole, hmm.expected(seqs, start, move, emit)))
     monkeypatch.undo()
-    long = [rng.integers(0, m, 60_000)]
+    long = [rng.integers(0, m, 120_000)]
     import tracemalloc
 
     tracemalloc.start()
@@ -218,7 +218,7 @@ def test_hmm_long(monkeypatch):
     score = hmm.log_likelihood(long, start, move, emit)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert np.isclose(got[2].sum(), 60_000) and np.isfinite(score).all() and peak < 60_000 * 8 * (k + 1)
+    assert np.isclose(got[2].sum(), 120_000) and np.isfinite(score).all() and peak < 120_000 * 8 * (k + 1)
 
 
 def test_hmm(spark, docs, empty):
