@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import tables
-from ..functions.text import hash40
 from ..operators import annotate, articles, retrieve
 from ..sources import sinks, store
 from ..streaming import latest
-from .catalogue import _SQL_WORDS, ORACLES, _mentions, _q, query, scratch, t
+from .catalogue import _SQL_WORDS, ORACLES, _mentions, query, scratch, t
 
 
 def _esc(c):
