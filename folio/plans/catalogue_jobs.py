@@ -50,9 +50,9 @@ def save_first(spark, sf_dir):
     """Documents of each source as a file, three of them under one pmid: what a store has of them (pmid 0 is none)."""
     d = t(spark, sf_dir, "documents")
     passage = F.struct(F.create_map(F.lit("section"), F.lit("text")).alias("infons"), F.lit(0).cast("bigint").alias("offset"), "text")
-    docs = d.select(F.col("source").alias("file"), (F.col("doc_id") % 2).alias("block"), F.col("doc_id").alias("pos"), F.floor(F.col("doc_id") / 3).cast("string").alias("id"), F.create_map(F.lit("lang"), "lang").alias("infons"), F.array(passage).alias("passages"))
+    docs = d.select(F.col("source").alias("file"), F.lit(0).alias("block"), F.col("doc_id").alias("pos"), F.floor(F.col("doc_id") / 3).cast("string").alias("id"), F.create_map(F.lit("lang"), "lang").alias("infons"), F.array(passage).alias("passages"))
     at = scratch(spark)
-    sinks.save_documents(docs.withColumn("block", F.lit(0)), at, "abstract", 7, 100000 + F.substring("file", 4, 9).cast("int"))
+    sinks.save_documents(docs, at, "abstract", 7, 100000 + F.substring("file", 4, 9).cast("int"))
     got = spark.read.parquet(at)
     return got.select("pmid", F.col("file_index").cast("bigint").alias("file_index"), "updated", "hash", F.length("body").cast("bigint").alias("n"))
 
