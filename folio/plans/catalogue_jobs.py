@@ -92,7 +92,9 @@ def fold_stores(spark, sf_dir):
 @query(_folded("k", _VERSIONS))
 def stream_latest(spark, sf_dir):
     """The same as a stream: a file a year, each a batch, late ones among them; a second query goes on where the first stopped."""
-    v, at = _order_versions(spark, sf_dir), scratch(spark)
+    at = scratch(spark)
+    _order_versions(spark, sf_dir).repartition("k").write.partitionBy("k").parquet(f"{at}/versions")
+    v = spark.read.parquet(f"{at}/versions").select("k", "kind", "pmid", "body", "hash", "updated", "file_index")
     schema = v.schema
     for last in (2, _INPUTS - 1):
         for k in range(3 if last > 2 else 0, last + 1):

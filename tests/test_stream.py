@@ -40,3 +40,20 @@ def test_latest_in_one_batch(spark, tmp_path):
     spark.createDataFrame(rows, latest.VERSION).coalesce(1).write.parquet(str(tmp_path / "in"))
     latest.ingest(spark, str(tmp_path / "in"), latest.VERSION, str(tmp_path / "s"), str(tmp_path / "c"), lambda d: d)
     assert sorted((r.kind, r.body, r.file_index) for r in store.rows(spark, str(tmp_path / "s")).collect()) == [("abstract", "b", 3), ("fulltext", "f", -1)]
+
+
+def test_folded_side_by_side(spark, tmp_path):
+    """Documents of a group share a value of state, and each is folded as if it were alone."""
+    r = random.Random(5)
+    rows = [("abstract", r.randrange(3000), f"{k}", r.randrange(3), 0, r.randrange(4), f"{k:06d}") for k in range(9000)]
+    for part in (rows[:5000], rows[5000:]):
+        spark.createDataFrame(part, latest.VERSION).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        latest.ingest(spark, str(tmp_path / "in"), latest.VERSION, str(tmp_path / "s"), str(tmp_path / "c"), lambda d: d, buckets=4)
+    want = {}
+    for x in rows:
+        h, t = x[3], x[5]
+        if x[1] not in want or not (t < want[x[1]][1] and h != want[x[1]][0] or t > want[x[1]][1] and h == want[x[1]][0]):
+            want[x[1]] = (h, t, x[2])
+    assert {x.pmid: (x.hash, x.file_index, x.body) for x in store.rows(spark, str(tmp_path / "s")).collect()} == want and len(want) > 2500
+    values = spark.read.format("statestore").option("stateVarName", "stand").load(str(tmp_path / "c")).count()
+    assert 0 < values <= latest.GROUPS < len(want)
