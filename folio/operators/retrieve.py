@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.arrow import small_batches
+
 MODES = ("abstracts", "fulltext", "all")
 
 
@@ -63,6 +65,7 @@ def overridden(fulltext: Column, abstract: Column) -> Column:
     """A full text's document XML with its own direct infons taken out and those of the abstract's document, in order, put after its
     id. Without an abstract the full text as it is, to the byte; without a full text null. A document that doesn't begin with
     its id raises."""
+    small_batches()
     return F.when(fulltext.isNotNull() & abstract.isNotNull(), _overridden(fulltext, abstract)).otherwise(fulltext)
 
 
@@ -74,15 +77,19 @@ def documents(ids: DataFrame, rows: DataFrame, mode: str = "all") -> tuple[DataF
     of = lambda kind, name: rows.where(F.col("kind") == kind).select("pmid", F.col("body").alias(name))
     both = ids.join(of("abstract", "a"), "pmid", "left")
     if mode != "abstracts":
-        both = both.join(of("fulltext", "f"), "pmid", "left").withColumn("f", overridden(F.col("f"), F.col("a")))
+        both = both.join(of("fulltext", "f"), "pmid", "left")
+    # what is there is told by the bodies as they are: a full text goes to Python once, to be overridden
+    there = {"abstracts": "a is not null", "fulltext": "f is not null", "all": "a is not null or f is not null"}[mode]
+    missed, both = both.where(f"not ({there})").select("ord", "pmid"), both.where(there)
+    if mode != "abstracts":
+        both = both.withColumn("f", overridden(F.col("f"), F.col("a")))
     if mode == "abstracts":
         kind, body = F.lit("abstract"), F.col("a")
     elif mode == "fulltext":
         kind, body = F.lit("fulltext"), F.col("f")
     else:
         kind, body = F.when(F.col("f").isNotNull(), "fulltext").otherwise("abstract"), F.coalesce("f", "a")
-    got = both.select("ord", "pmid", kind.alias("kind"), body.alias("body"))
-    return got.where("body is not null"), got.where("body is null").select("ord", "pmid")
+    return both.select("ord", "pmid", kind.alias("kind"), body.alias("body")), missed
 
 
 def missing(expected: DataFrame, existing: DataFrame, key: str) -> DataFrame:
