@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import let, sums_before
+from .arrow import small_batches
 from .text import WORD
 
 _SPANS = "array<struct<start:int,end:int>>"
@@ -92,11 +93,13 @@ def _taken(spans: pa.Array) -> pa.Array:
 
 def choose_spans(spans: Column) -> Column:
     """Greedy choice among (start, end): longest first, larger start first among equals; touching spans overlap."""
+    small_batches()
     return _chosen(_bounds(spans))
 
 
 def chosen_only(hits: Column) -> Column:
     """The hits, structs of start, end and more, whose spans the greedy choice takes."""
+    small_batches()
     return F.transform(F.filter(F.arrays_zip(hits.alias("h"), _taken(_bounds(hits)).alias("t")), lambda x: x["t"]), lambda x: x["h"])
 
 

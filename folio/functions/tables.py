@@ -7,6 +7,8 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import udtf
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
+from .arrow import small_batches
+
 
 class _TextChunks:
     """text_chunks(xml): the passages of an article's or any element's text, as operators.xmltext gives them.
@@ -61,6 +63,7 @@ class _XmlNodes:
 
 
 def register(spark: SparkSession) -> None:
+    small_batches(spark)
     for name, kind in (("text_chunks", _TextChunks), ("xml_nodes", _XmlNodes)):
         spark.udtf.register(name, udtf(kind, useArrow=True))
 
