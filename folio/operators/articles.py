@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..functions import dates
 from ..functions.arrays import let, sums_before
+from ..functions.arrow import small_batches
 from ..functions.text import SKIPPED_TYPES, SUBSECTIONS
 from . import xmltext
 from .citations import strip_markers
@@ -196,6 +197,7 @@ def _mapped(records: DataFrame, xml: str, kept: list[str], ddl: str, parse) -> D
             rows = [keep | r for keep, x in zip(before, b.column(xml).to_pylist()) if x for r in parse(x)]
             yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
+    small_batches(records.sparkSession)
     return records.mapInArrow(run, out)
 
 
