@@ -6,10 +6,11 @@ from xml.sax.saxutils import escape
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.arrow import small_batches
 from ..functions.text import file_index as text_file_index
 from ..functions.text import hash40
 
@@ -43,10 +44,16 @@ def bioc_xml(doc_id, infons, passages) -> str:
 
 
 @F.pandas_udf(T.StringType())
-def bioc_document(doc_id: pd.Series, infons: pd.Series, passages: pd.Series) -> pd.Series:
+def _bioc_document(doc_id: pd.Series, infons: pd.Series, passages: pd.Series) -> pd.Series:
     return pd.Series([bioc_xml(*x) for x in zip(doc_id, infons, passages)])
 
 
+def bioc_document(doc_id: Column | str, infons: Column | str, passages: Column | str) -> Column:
+    """bioc_xml of columns."""
+    small_batches()
+    return _bioc_document(doc_id, infons, passages)
+
+
 def _quoted(s: str) -> str:
     return '"' + escape(s, {'"': "&quot;"}) + '"'
 
@@ -61,6 +68,7 @@ def write_bioc(docs: DataFrame, path: str, source: str = "", date: str = "", key
             yield pa.RecordBatch.from_arrays([pa.array([bioc_xml(*r) for r in zip(*(c.to_pylist() for c in b.columns))], pa.string())], names=["value"])
         yield pa.RecordBatch.from_arrays([pa.array(["</collection>"])], names=["value"])
 
+    small_batches(docs.sparkSession)
     docs.select("id", "infons", "passages").mapInArrow(wrapped, "value string").write.text(path)
 
 
