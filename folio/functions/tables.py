@@ -70,13 +70,13 @@ def register(spark: SparkSession) -> None:
 
 def node_paths(nodes: DataFrame, key: str = "doc_id", depth: int = 100) -> DataFrame:
     """(key, id, path) of nodes (key, id, parent, tag): the tags from the root down, by a recursive table expression, a join for each
-    level. Trees deeper than `depth` raise."""
+    level, by shuffles: a broadcast would take the nodes through the driver. Trees deeper than `depth` raise."""
     spark = nodes.sparkSession
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")  # the number of nodes is the data's
     return spark.sql(
         f"""with recursive p(k, id, path) max recursion level {depth} as (
               select {key}, id, tag from {{nodes}} where parent is null
-              union all select n.{key}, n.id, concat(p.path, '/', n.tag) from {{nodes}} n join p on n.{key} = p.k and n.parent = p.id)
+              union all select /*+ merge(n, p) */ n.{key}, n.id, concat(p.path, '/', n.tag) from {{nodes}} n join p on n.{key} = p.k and n.parent = p.id)
             select k as {key}, id, path from p""",
         nodes=nodes,
     )

@@ -49,6 +49,17 @@ def test_node_paths(spark):
     assert got == want and len(want) > 60
 
 
+def test_node_paths_without_driver(spark):
+    """Levels meet by shuffles: nothing is broadcast."""
+    nodes = spark.createDataFrame([(k, i, i - 1 if i else None, f"t{i}") for k in range(5) for i in range(4)], "doc_id int, id int, parent int, tag string")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1")
+    try:
+        got = {(x.doc_id, x.id): x.path for x in tables.node_paths(nodes).collect()}
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert got == {(k, i): "/".join(f"t{j}" for j in range(i + 1)) for k in range(5) for i in range(4)}
+
+
 def test_paths_shown(spark):
     """A path is kept for tables' heads and bodies and for figures, or for all."""
     xml = "<article><body><sec><p>a</p><table><thead><tr><th>h</th></tr></thead><tbody><tr><td>b</td></tr></tbody></table><fig><caption><p>f</p></caption></fig></sec></body></article>"
