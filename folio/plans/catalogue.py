@@ -374,9 +374,13 @@ def mention_regex(spark, sf_dir):
 
 def _mentions(spark, sf_dir):
     """Per document its third word, and that with the next one, as mentions (null where there is none)."""
-    w = F.regexp_extract_all("text", F.lit(rf"{_W}+"), F.lit(0))
-    d = t(spark, sf_dir, "documents").select("doc_id", "text", w.alias("w"))
-    return d.select(F.col("doc_id").alias("pmid"), F.lit(0).alias("passage_idx"), F.lit(0).cast("bigint").alias("offset"), "text", F.get("w", F.lit(2)).alias("one"), F.concat(F.get("w", F.lit(2)), F.lit(" "), F.get("w", F.lit(3))).alias("two"))
+
+    def word(n: int):
+        """The n-th word; a text is read no further than that."""
+        return F.nullif(F.regexp_extract("text", rf"^[^\p{{L}}\p{{N}}_]*+(?:{_W}++[^\p{{L}}\p{{N}}_]++){{{n - 1}}}({_W}++)", 1), F.lit(""))
+
+    d = t(spark, sf_dir, "documents").select("doc_id", "text", word(3).alias("third"), word(4).alias("fourth"))
+    return d.select(F.col("doc_id").alias("pmid"), F.lit(0).alias("passage_idx"), F.lit(0).cast("bigint").alias("offset"), "text", F.col("third").alias("one"), F.concat("third", F.lit(" "), "fourth").alias("two"))
 
 
 #: Words and what lies between them: a word's place is the summed length of both before it.
