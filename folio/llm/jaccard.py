@@ -293,7 +293,8 @@ def links(found: DataFrame, percent: int) -> DataFrame:
     same = [f"x.token = y.token and x.c < y.c and {MEET} and {_may(percent, 'x', 'y')}", _near(percent, "x", "y"), *[f"arrays_overlap(x.{p}, y.{p})" for p in prefixes[1:]], "x.token = element_at(array_intersect(x.p0, y.p0), 1)"]
     pairs = left.alias("x").join(left.alias("y"), F.expr(" and ".join(same)))
     pairs = pairs.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
-    return first.unionByName(_verify(pairs, found, percent))
+    # what first joined is joined already: its stars stand for it
+    return label.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(_verify(pairs, found, percent))
 
 
 def cluster(docs: DataFrame, text: str = "text", k: int = 4, percent: int = 85) -> DataFrame:

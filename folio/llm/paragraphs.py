@@ -185,9 +185,12 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
         return pa.table({"segment": t.column("segment").slice(0, 1), "bits": pa.array([zstandard.compress(out.tobytes(), 1)], pa.binary())})
 
     bits = np.zeros((SEGMENTS, width // SEGMENTS), np.uint8)
-    for r in keys.mapInArrow(tidied(mark), "segment int, bits binary").groupBy("segment").applyInArrow(merge, "segment int, bits binary").toLocalIterator():
+    # written first: read one by one from the shuffle, the segments would be a job for each of its partitions
+    merged = written(keys.mapInArrow(tidied(mark), "segment int, bits binary").groupBy("segment").applyInArrow(merge, "segment int, bits binary"))
+    for r in merged.toLocalIterator():
         bits[r.segment] = np.frombuffer(zstandard.decompress(bytes(r.bits)), np.uint8)
     removed(keys)
+    removed(merged)
     return bits.reshape(-1)
 
 
@@ -272,7 +275,8 @@ def near_paragraphs(docs: DataFrame, text: str = "text", similarity: float = SIM
     sizes = f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
     same = [f"x.band = y.band and x.hash = y.hash and x.c < y.c and {MEET}", sizes, _near(percent, "x", "y"), alone]
     more = left.alias("x").join(left.alias("y"), F.expr(" and ".join(same))).select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
-    label = components(linked.unionByName(verified(more)))
+    stars = label.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    label = components(stars.unionByName(verified(more)))
     named = written(first.join(label, first["key"] == label["node"], "left").where("n > 1 or component is not null").select("key", "at", F.coalesce("component", "key").alias("component")))
     keepers = named.groupBy("component").agg(F.min("at").alias("keeper"))
     return written(named.join(keepers, "component").select("key", F.col("keeper.doc_id").alias("keeper_doc"), F.col("keeper.line_no").alias("keeper_line")))

@@ -106,6 +106,47 @@ def test_components(spark):
     assert graph.components(edges.limit(0)).collect() == []
 
 
+def _ran(spark, f):
+    """Jobs and completed tasks of f(), at 40 shuffle partitions that are left as they are."""
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    group = f"ran-{time.time()}"
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup(group, "")
+        out = f()
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = tracker.getJobIdsForGroup(group)
+    stages = {s for j in jobs for s in tracker.getJobInfo(j).stageIds}
+    return out, len(jobs), sum(i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i)
+
+
+def test_components_and_filters_take_few_tasks(spark):
+    # the driver keeps something of each task and each job
+    edges = written(spark.createDataFrame([(1, x) for x in range(2, 60)] + [(x, 1000) for x in range(2, 60)] + [(2000, x) for x in range(2001, 2020)], "a bigint, b bigint"))
+    label, _, tasks = _ran(spark, lambda: graph.components(edges))
+    assert dict((r.node, r.component) for r in label.collect()) == {x: 2000 if x >= 2000 else 1 for x in [*range(1, 60), 1000, *range(2000, 2020)]}
+    assert label.count() == label.distinct().count()
+    assert tasks <= 14 * 40
+    keys = [x * 0x9E3779B97F4A7C15 % (1 << 63) for x in range(1, 2000)]
+    bits, jobs, _ = _ran(spark, lambda: paragraphs._filter_of(spark.createDataFrame([(k,) for k in keys], "key bigint")))
+    assert paragraphs._known(bits, np.array(keys, np.uint64)).all() and jobs <= 20
+
+
+def test_components_of_chains(spark):
+    rng = random.Random(5)
+    names = rng.sample(range(-5000, 5000), 3000)
+    edges = [(x, y) for x, y in zip(names, names[1:]) if names.index(x) % 500 != 499]
+    edges = [p[::-1] if rng.random() < 0.5 else p for p in edges] * 2
+    got = graph.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    assert sorted(tuple(r) for r in got) == sorted((x, min(names[i : i + 500])) for i in range(0, 3000, 500) for x in names[i : i + 500])
+
+
 def test_bpe(spark, docs, empty):
     from tokenizers import Tokenizer
 
